@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job being rebuilt is batch only: it never reads or writes a stream, keeps no state across
+runs and has no notion of late data, so nothing is built here. An incremental variant would have
+different semantics (append rather than partition overwrite) and is deliberately left out.
+"""

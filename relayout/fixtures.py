@@ -25,3 +25,150 @@ def events_with_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (table(spark, sf_dir, "events")
             .withColumn("event_date", F.date_format("ts", "yyyy-MM-dd"))
             .withColumn("event_hour", F.hour("ts")))
+
+
+# ---------------------------------------------------------------------------------------------
+# Schema containment: one pair per customer. The source inventory holds a column per
+# (order priority, order status) of the customer's orders; the target inventory a column per
+# (order priority, line status) of the lines of those orders. Comments are unset on both sides.
+# ---------------------------------------------------------------------------------------------
+
+
+def containment_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem")
+    no_comment = F.lit(None).cast("string").alias("comment")
+    source = orders.select(F.col("o_custkey").alias("pair_id"), F.col("o_orderpriority").alias("name"),
+                           F.col("o_orderstatus").alias("type"), no_comment)
+    target = (lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+              .select(F.col("o_custkey").alias("pair_id"), F.col("o_orderpriority").alias("name"),
+                      F.col("l_linestatus").alias("type"), no_comment))
+    pairs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pair_id"))
+    return source, target, pairs
+
+
+# ---------------------------------------------------------------------------------------------
+# Table descriptors: one JSON document per lineitem row, built row by row (no grouping).
+# A line with number n describes a table of n columns c1..cn; even positions are partition
+# columns; odd ones carry is_partition '2' or '0' (both data). Parameters k0..k2 repeat, so later
+# values must win; serde entries: two for flag 'R', one for 'A', none for 'N'; type entries: two
+# for status 'F', the key absent for 'O'. Lines without discount get a non-integer flag, lines
+# without tax have no "columns" key, and lines of quantity 1 are cut short (malformed JSON).
+# ---------------------------------------------------------------------------------------------
+
+# Fixed values of the descriptor fixture (also spelled out in the SQL twin).
+COLUMN_TYPES = ["bigint", "string", "double", "date", "timestamp", "int", "boolean"]
+
+
+def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    n = F.col("l_linenumber")
+    types = F.array(*[F.lit(t) for t in COLUMN_TYPES])
+
+    def column(i):
+        flag = (F.when(i % 2 == 0, F.lit("1"))
+                .when((i == 1) & (F.col("l_discount") == 0), F.lit("x"))
+                .when(F.col("l_tax") >= 0.05, F.lit("2"))
+                .otherwise(F.lit("0")))
+        return F.create_map(
+            F.lit("name"), F.concat(F.lit("c"), i.cast("string")),
+            F.lit("type"), F.element_at(types, i),
+            F.lit("comment"), F.when(i % 2 == 1, F.col("l_returnflag")).otherwise(F.lit("")),
+            F.lit("is_partition"), flag,
+        )
+
+    def param(j):
+        return F.create_map(F.lit("param_key"), F.concat(F.lit("k"), (j % 3).cast("string")),
+                            F.lit("param_value"), F.concat_ws(":", F.col("l_orderkey").cast("string"), j.cast("string")))
+
+    def serde(suffix):
+        return F.create_map(F.lit("serde_input"), F.concat(F.lit("in."), suffix),
+                            F.lit("serde_output"), F.concat(F.lit("out."), suffix))
+
+    serde_list = (F.when(F.col("l_returnflag") == "R", F.array(serde(F.lit("Text")), serde(F.col("l_linestatus"))))
+                  .when(F.col("l_returnflag") == "A", F.array(serde(F.lit("Text"))))
+                  .otherwise(F.array().cast("array<map<string,string>>")))
+    type_list = F.when(F.col("l_linestatus") == "F", F.array(
+        F.create_map(F.lit("table_type"), F.lit("MANAGED_TABLE"), F.lit("view_expanded_text"), F.lit("")),
+        F.create_map(F.lit("table_type"), F.lit("VIRTUAL_VIEW"), F.lit("view_expanded_text"), F.lit("select 1")),
+    ))
+    doc = F.create_map(
+        F.lit("columns"), F.when(F.col("l_tax") > 0, F.transform(F.sequence(F.lit(1), n), column)),
+        F.lit("table_params"), F.transform(F.sequence(F.lit(1), n + 1), param),
+        F.lit("serde_info"), serde_list,
+        F.lit("type_info"), type_list,
+    )
+    text = F.to_json(F.map_filter(doc, lambda k, v: v.isNotNull()))
+    text = F.when(F.col("l_quantity") == 1, text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
+    return li.select(
+        F.concat(F.lit("db_"), F.lower(F.col("l_returnflag"))).alias("db"),
+        F.concat_ws("_", F.lit("t"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                    F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("table"),
+        text.alias("json"),
+    )
+
+
+# ---------------------------------------------------------------------------------------------
+# Name inventory: every part is a table named by its part name, in a database named by its type.
+# ---------------------------------------------------------------------------------------------
+
+
+def name_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", F.col("p_type").alias("db"), F.col("p_name").alias("table"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Keyed lookup: suppliers and customers are the source, in two namespaces; events are the
+# requests (views and clicks ask for customers, other events for suppliers; the user id is the
+# key). The lookup caches the source rows of nations 0..19 (name lower-cased), expiring by nation
+# band: 0..4 a day before AS_OF, 5..7 exactly at AS_OF, 8..11 never, 12..19 a week after.
+# Negatives: keys asked for before 2024-01-08 that the source lacks, expiring 10 days after the
+# last such request, plus customers of nations 20..24 with a negative balance, live for a day.
+# ---------------------------------------------------------------------------------------------
+
+
+def _as_of():
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def _days(n: int):
+    return F.make_dt_interval(days=F.lit(n))
+
+
+def lookup_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sup = table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("namespace"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("balance"), F.col("s_nationkey").alias("nation"))
+    cus = table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("namespace"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"), F.col("c_nationkey").alias("nation"))
+    return sup.unionByName(cus)
+
+
+def lookup_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    ns = F.when(F.col("event_type").isin("view", "click"), F.lit("customer")).otherwise(F.lit("supplier"))
+    return ev.select(ns.alias("namespace"), F.col("user_id").alias("key"), "event_id", "ts", "event_type", "value")
+
+
+def lookup_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = lookup_source(spark, sf_dir)
+    nation = F.col("nation")
+    expires = (F.when(nation < 5, _as_of() - _days(1))
+               .when(nation < 8, _as_of())
+               .when(nation < 12, F.lit(None).cast("timestamp_ntz"))
+               .otherwise(_as_of() + _days(TTL_DAYS)))
+    return src.where(nation < 20).select("namespace", "key", F.lower("name").alias("name"), "balance", "nation",
+                                         expires.alias("expires_at"))
+
+
+def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = lookup_source(spark, sf_dir)
+    early = lookup_requests(spark, sf_dir).where(F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp_ntz"))
+    recorded = (early.join(src.select("namespace", "key"), ["namespace", "key"], "left_anti")
+                .groupBy("namespace", "key").agg((F.max("ts") + _days(10)).alias("expires_at")))
+    cus = table(spark, sf_dir, "customer")
+    stale = cus.where((F.col("c_acctbal") < 0) & (F.col("c_nationkey") >= 20)).select(
+        F.lit("customer").alias("namespace"), F.col("c_custkey").alias("key"), (_as_of() + _days(1)).alias("expires_at"))
+    return recorded.unionByName(stale)

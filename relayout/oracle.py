@@ -41,3 +41,166 @@ SQL: dict[str, str] = {
                o_orderdate, o_orderpriority, o_orderstatus
         FROM orders""",
 }
+
+SQL["schema_containment"] = """
+    WITH src AS (
+        SELECT DISTINCT o_custkey AS pair_id, o_orderpriority AS name, o_orderstatus AS type,
+               CAST(NULL AS VARCHAR) AS comment
+        FROM orders),
+    tgt AS (
+        SELECT DISTINCT o.o_custkey AS pair_id, o.o_orderpriority AS name, l.l_linestatus AS type,
+               CAST(NULL AS VARCHAR) AS comment
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+    miss AS (SELECT * FROM tgt EXCEPT SELECT * FROM src),
+    s AS (SELECT pair_id, count(*) AS n FROM src GROUP BY pair_id),
+    t AS (SELECT pair_id, count(*) AS n FROM tgt GROUP BY pair_id),
+    m AS (SELECT pair_id, count(*) AS n FROM miss GROUP BY pair_id)
+    SELECT c.c_custkey AS pair_id,
+           (s.n IS NOT NULL AND t.n IS NOT NULL AND coalesce(m.n, 0) = 0) AS valid,
+           coalesce(m.n, 0) AS missing_columns
+    FROM (SELECT DISTINCT c_custkey FROM customer) c
+    LEFT JOIN s ON s.pair_id = c.c_custkey
+    LEFT JOIN t ON t.pair_id = c.c_custkey
+    LEFT JOIN m ON m.pair_id = c.c_custkey"""
+
+# The descriptor documents are built from lineitem rows (see relayout.fixtures); their parse is
+# derived here straight from the same rows.
+DESCRIPTOR_BASE = """
+    WITH li AS (
+        SELECT *, 'db_' || lower(l_returnflag) AS db,
+               concat_ws('_', 't', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS "table"
+        FROM lineitem),
+    good AS (SELECT * FROM li WHERE l_quantity <> 1 AND l_tax > 0 AND l_discount <> 0)"""
+
+SQL["descriptor_columns"] = DESCRIPTOR_BASE + """
+    SELECT db, "table",
+           CAST(i - 1 AS INTEGER) AS position,
+           CAST(CASE WHEN i % 2 = 1 THEN (i - 1) // 2
+                     ELSE (l_linenumber + 1) // 2 + i // 2 - 1 END AS INTEGER) AS layout_position,
+           'c' || CAST(i AS VARCHAR) AS name,
+           (['bigint', 'string', 'double', 'date', 'timestamp', 'int', 'boolean'])[i] AS type,
+           CASE WHEN i % 2 = 1 THEN l_returnflag ELSE '' END AS comment,
+           (i % 2 = 0) AS is_partition
+    FROM (SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM good)"""
+
+SQL["descriptor_params"] = DESCRIPTOR_BASE + """
+    SELECT db, "table",
+           'k' || CAST(j % 3 AS VARCHAR) AS param_key,
+           CAST(l_orderkey AS VARCHAR) || ':' || CAST(j AS VARCHAR) AS param_value
+    FROM (SELECT *, unnest(range(1, l_linenumber + 2)) AS j FROM good)
+    WHERE j + 3 > l_linenumber + 1"""
+
+SQL["descriptor_storage"] = DESCRIPTOR_BASE + """
+    SELECT db, "table",
+           CASE l_returnflag WHEN 'R' THEN 'in.' || l_linestatus WHEN 'A' THEN 'in.Text' ELSE '' END
+               AS serde_input,
+           CASE l_returnflag WHEN 'R' THEN 'out.' || l_linestatus WHEN 'A' THEN 'out.Text' ELSE '' END
+               AS serde_output,
+           CASE WHEN l_linestatus = 'F' THEN 'MANAGED_TABLE' ELSE '' END AS table_type,
+           '' AS view_expanded_text
+    FROM good"""
+
+SQL["descriptor_rejected"] = DESCRIPTOR_BASE + """
+    SELECT db, "table",
+           CASE WHEN l_quantity = 1 THEN 'malformed json'
+                WHEN NOT (l_tax > 0) THEN 'missing columns'
+                ELSE 'is_partition is not an integer' END AS reason
+    FROM li
+    WHERE l_quantity = 1 OR NOT (l_tax > 0) OR l_discount = 0"""
+
+SQL["names_fullmatch"] = """
+    SELECT p_partkey, p_type AS db, p_name AS "table"
+    FROM part
+    WHERE lower(p_type) = 'economy' AND regexp_full_match(p_name, '(red|blue) (rod|ring)')"""
+
+SQL["names_all"] = """
+    SELECT p_partkey, p_type AS db, p_name AS "table" FROM part WHERE lower(p_type) = 'small'"""
+
+AS_OF = "TIMESTAMP '2024-01-15 00:00:00'"
+
+LOOKUP_BASE = f"""
+    WITH source AS (
+        SELECT 'supplier' AS namespace, s_suppkey AS key, s_name AS name, s_acctbal AS balance,
+               s_nationkey AS nation
+        FROM supplier
+        UNION ALL
+        SELECT 'customer', c_custkey, c_name, c_acctbal, c_nationkey FROM customer),
+    requests AS (
+        SELECT CASE WHEN event_type IN ('view', 'click') THEN 'customer' ELSE 'supplier' END AS namespace,
+               user_id AS key, event_id, ts, event_type, value
+        FROM events),
+    cache AS (
+        SELECT namespace, key, lower(name) AS name, balance, nation,
+               CASE WHEN nation < 5 THEN {AS_OF} - INTERVAL 1 DAY
+                    WHEN nation < 8 THEN {AS_OF}
+                    WHEN nation < 12 THEN NULL
+                    ELSE {AS_OF} + INTERVAL 7 DAY END AS expires_at
+        FROM source WHERE nation < 20),
+    negative AS (
+        SELECT r.namespace, r.key, max(r.ts) + INTERVAL 10 DAY AS expires_at
+        FROM requests r
+        WHERE r.ts < TIMESTAMP '2024-01-08 00:00:00'
+          AND NOT EXISTS (SELECT 1 FROM source s WHERE s.namespace = r.namespace AND s.key = r.key)
+        GROUP BY r.namespace, r.key
+        UNION ALL
+        SELECT 'customer', c_custkey, {AS_OF} + INTERVAL 1 DAY
+        FROM customer WHERE c_acctbal < 0 AND c_nationkey >= 20),
+    live_cache AS (SELECT * FROM cache WHERE expires_at IS NULL OR expires_at > {AS_OF}),
+    live_negative AS (SELECT * FROM negative WHERE expires_at IS NULL OR expires_at > {AS_OF}),
+    wanted AS (SELECT DISTINCT namespace, key FROM requests),
+    misses AS (
+        SELECT w.* FROM wanted w
+        WHERE NOT EXISTS (SELECT 1 FROM live_cache c WHERE c.namespace = w.namespace AND c.key = w.key)
+          AND NOT EXISTS (SELECT 1 FROM live_negative n WHERE n.namespace = w.namespace AND n.key = w.key))"""
+
+SQL["lookup_present"] = LOOKUP_BASE + """
+    SELECT c.* FROM live_cache c
+    WHERE EXISTS (SELECT 1 FROM wanted w WHERE w.namespace = c.namespace AND w.key = c.key)"""
+
+SQL["lookup_read_through"] = LOOKUP_BASE + """
+    SELECT namespace, key, name, balance, nation, 'cache' AS origin FROM live_cache c
+    WHERE EXISTS (SELECT 1 FROM wanted w WHERE w.namespace = c.namespace AND w.key = c.key)
+    UNION ALL
+    SELECT s.namespace, s.key, s.name, s.balance, s.nation, 'source' AS origin
+    FROM source s JOIN misses m ON m.namespace = s.namespace AND m.key = s.key"""
+
+SQL["lookup_negative"] = LOOKUP_BASE + f"""
+    SELECT m.namespace, m.key, {AS_OF} + INTERVAL 30 DAY AS expires_at FROM misses m
+    WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.namespace = m.namespace AND s.key = m.key)"""
+
+SQL["lookup_upsert"] = LOOKUP_BASE + f""",
+    upd AS (
+        SELECT namespace, key, 'user-' || CAST(key AS VARCHAR) AS name, value AS balance,
+               CAST(hour(ts) AS INTEGER) AS nation, event_id
+        FROM requests WHERE event_type = 'purchase'),
+    latest AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY namespace, key ORDER BY event_id DESC) AS rn
+                       FROM upd) WHERE rn = 1)
+    SELECT namespace, key, name, balance, nation, expires_at FROM live_cache c
+    WHERE NOT EXISTS (SELECT 1 FROM latest u WHERE u.namespace = c.namespace AND u.key = c.key)
+    UNION ALL
+    SELECT namespace, key, name, balance, nation, {AS_OF} + INTERVAL 7 DAY AS expires_at FROM latest"""
+
+SQL["lookup_invalidate"] = LOOKUP_BASE + """
+    SELECT * FROM cache c
+    WHERE NOT EXISTS (SELECT 1 FROM requests r
+                      WHERE r.event_type = 'error' AND r.namespace = c.namespace AND r.key = c.key)"""
+
+SQL["lookup_refresh"] = LOOKUP_BASE + f""",
+    last_day AS (SELECT DISTINCT namespace, key FROM requests WHERE CAST(ts AS DATE) = DATE '2024-01-30'),
+    reloaded AS (
+        SELECT s.namespace, s.key, s.name, s.balance, s.nation FROM source s
+        WHERE EXISTS (SELECT 1 FROM last_day d WHERE d.namespace = s.namespace AND d.key = s.key))
+    SELECT namespace, key, name, balance, nation, expires_at FROM live_cache c
+    WHERE NOT EXISTS (SELECT 1 FROM reloaded r WHERE r.namespace = c.namespace AND r.key = c.key)
+    UNION ALL
+    SELECT namespace, key, name, balance, nation, {AS_OF} + INTERVAL 7 DAY AS expires_at FROM reloaded"""
+
+SQL["lookup_stats"] = LOOKUP_BASE + """
+    SELECT r.namespace,
+           CAST(sum(CASE WHEN c.key IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+           CAST(sum(CASE WHEN c.key IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS misses
+    FROM requests r
+    LEFT JOIN (SELECT DISTINCT namespace, key FROM live_cache) c
+           ON c.namespace = r.namespace AND c.key = r.key
+    GROUP BY r.namespace"""

@@ -113,3 +113,146 @@ def relayout_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     tgt = _target(spark, src, "orders_typed", ["o_orderstatus"], ORDER_COLUMNS,
                   types={"o_orderkey": "string", "o_totalprice": "bigint"})
     return relayout(spark, src, tgt, {})
+
+
+# ---------------------------------------------------------------------------------------------
+# Schema containment (V2, V3)
+# ---------------------------------------------------------------------------------------------
+
+
+def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: per customer, is the (priority, line status) inventory contained in the (priority,
+    order status) inventory; customers without orders or lines are invalid."""
+    from .fixtures import containment_inputs
+    from .operators.containment import schema_containment as contain
+
+    source, target, pairs = containment_inputs(spark, sf_dir)
+    return contain(source, target, pairs)
+
+
+# ---------------------------------------------------------------------------------------------
+# Table descriptors (D1-D7) and names
+# ---------------------------------------------------------------------------------------------
+
+
+def _descriptors(spark: SparkSession, sf_dir: str):
+    from .fixtures import descriptor_documents
+    from .operators.descriptors import parse_descriptors
+
+    return parse_descriptors(descriptor_documents(spark, sf_dir))
+
+
+def descriptor_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q10: the column inventory of every well-formed descriptor, in document and layout order."""
+    return _descriptors(spark, sf_dir).columns
+
+
+def descriptor_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11: table parameters, the last value of each duplicate key."""
+    return _descriptors(spark, sf_dir).params
+
+
+def descriptor_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Storage format (last serde entry) and table type (first type entry)."""
+    return _descriptors(spark, sf_dir).storage
+
+
+def descriptor_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cannot describe a table, with the reason."""
+    return _descriptors(spark, sf_dir).rejected.drop("json")
+
+
+def names_fullmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: tables of database 'Economy' (any case) whose whole name is a red or blue rod or ring."""
+    from .fixtures import name_inventory
+    from .operators.names import tables_matching
+
+    return tables_matching(name_inventory(spark, sf_dir), "Economy", "(red|blue) (rod|ring)")
+
+
+def names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table of database 'small' (matched case-insensitively)."""
+    from .fixtures import name_inventory
+    from .operators.names import all_tables
+
+    return all_tables(name_inventory(spark, sf_dir), "small")
+
+
+# ---------------------------------------------------------------------------------------------
+# Keyed lookup
+# ---------------------------------------------------------------------------------------------
+
+
+def _lookup_inputs(spark: SparkSession, sf_dir: str):
+    from . import fixtures as fx
+
+    return (fx.lookup_requests(spark, sf_dir), fx.lookup_cache(spark, sf_dir),
+            fx.lookup_source(spark, sf_dir), fx.lookup_negative(spark, sf_dir))
+
+
+def lookup_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: live cached entries of the requested keys."""
+    from .fixtures import AS_OF
+    from .operators.lookup import present
+
+    requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
+    return present(requests, cache, AS_OF)
+
+
+def _resolution(spark: SparkSession, sf_dir: str):
+    from .fixtures import AS_OF, MISSING_TTL_DAYS, TTL_DAYS
+    from .operators.lookup import read_through
+
+    requests, cache, source, negative = _lookup_inputs(spark, sf_dir)
+    return read_through(requests, cache, source, AS_OF, negative=negative,
+                        ttl_seconds=TTL_DAYS * 86400, missing_ttl_seconds=MISSING_TTL_DAYS * 86400)
+
+
+def lookup_read_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: every requested key answered from the cache or loaded from the source; live negatives
+    are not loaded."""
+    return _resolution(spark, sf_dir).found
+
+
+def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15: new negatives: requested keys neither cached, nor negative, nor in the source."""
+    return _resolution(spark, sf_dir).not_found
+
+
+def lookup_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q16: the cache after storing one update per purchase event (the latest event per key wins)."""
+    from .fixtures import AS_OF, TTL_DAYS
+    from .operators.lookup import upsert
+
+    requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
+    updates = requests.where(F.col("event_type") == "purchase").select(
+        "namespace", "key", F.concat(F.lit("user-"), F.col("key").cast("string")).alias("name"),
+        F.col("value").alias("balance"), F.hour("ts").alias("nation"), "event_id")
+    return upsert(cache, updates, AS_OF, TTL_DAYS * 86400, order_by="event_id")
+
+
+def lookup_invalidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q17: the cache without the keys of error events."""
+    from .operators.lookup import invalidate
+
+    requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
+    return invalidate(cache, requests.where(F.col("event_type") == "error"))
+
+
+def lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q18: the cache after reloading the keys requested on the last day from the source."""
+    from .fixtures import AS_OF, TTL_DAYS
+    from .operators.lookup import refresh
+
+    requests, cache, source, _ = _lookup_inputs(spark, sf_dir)
+    last_day = requests.where(F.to_date("ts") == F.lit("2024-01-30").cast("date"))
+    return refresh(cache, last_day, source, AS_OF, TTL_DAYS * 86400)
+
+
+def lookup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q19: per namespace, requests answered by a live cache entry and the others."""
+    from .fixtures import AS_OF
+    from .operators.lookup import stats
+
+    requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
+    return stats(requests, cache, AS_OF)

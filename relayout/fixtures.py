@@ -61,7 +61,9 @@ COLUMN_TYPES = ["bigint", "string", "double", "date", "timestamp", "int", "boole
 
 
 def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    from .sources.tables import spread
+
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     n = F.col("l_linenumber")
     types = F.array(*[F.lit(t) for t in COLUMN_TYPES])
 

@@ -105,11 +105,16 @@ def load(
 ) -> None:
     """C2 -> W4 -> rebalance -> W1: write the extract into the target's partitions."""
     layout = layout_of(spark, target)
+    write_partitions(load_frame(spark, extracted, target, distribution=distribution), target, layout.partition_names)
+
+
+def load_frame(spark: SparkSession, extracted: DataFrame, target: Table, *, distribution: str = REBALANCE) -> DataFrame:
+    """The rows exactly as they are handed to the writer (for inspecting the plan)."""
+    layout = layout_of(spark, target)
     if not layout.partition_names:
         raise ValueError("the target has no partition columns; a dynamic partition overwrite needs at least one")
     out = project_for_target(extracted, layout)
-    out = distribute_for_write(out, layout.partition_names, distribution)
-    write_partitions(out, target, layout.partition_names)
+    return distribute_for_write(out, layout.partition_names, distribution)
 
 
 def relayout(

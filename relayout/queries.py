@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .fixtures import events_with_layout, table
 from .functions.predicates import Expr
@@ -26,15 +27,11 @@ def _stage(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str
 
 
 def _target(spark: SparkSession, like, name: str, partition_by: list[str], columns: list[str],
-            types: dict[str, str] | None = None):
-    from pyspark.sql import types as T
-
+            types: dict[str, T.DataType] | None = None):
     schema = like.schema
     if types:
         schema = T.StructType([
-            T.StructField(f.name, T._parse_datatype_string(types[f.name]) if f.name in types else f.dataType,
-                          f.nullable, f.metadata)
-            for f in schema.fields
+            T.StructField(f.name, types.get(f.name, f.dataType), f.nullable, f.metadata) for f in schema.fields
         ])
     return path_table_for(schema, scratch_path(spark, name), partition_by, columns=columns)
 
@@ -111,7 +108,7 @@ def relayout_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     on the way in."""
     src = _stage(spark, table(spark, sf_dir, "orders"), "orders_by_priority", ["o_orderpriority"])
     tgt = _target(spark, src, "orders_typed", ["o_orderstatus"], ORDER_COLUMNS,
-                  types={"o_orderkey": "string", "o_totalprice": "bigint"})
+                  types={"o_orderkey": T.StringType(), "o_totalprice": T.LongType()})
     return relayout(spark, src, tgt, {})
 
 

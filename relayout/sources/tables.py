@@ -126,3 +126,13 @@ def read_table(spark: SparkSession, table: Table) -> DataFrame:
 def quote(name: str) -> str:
     """A column reference that takes the name literally (dots, spaces, backticks)."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores (a single small
+    file is one split). A large input already has enough splits and is returned unchanged, so no
+    shuffle is added at scale. Hashing on keys keeps the spread deterministic under task retries."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[quote(k) for k in keys])

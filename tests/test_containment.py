@@ -1,0 +1,58 @@
+"""Schema containment over column inventories: the hand cases of each rule."""
+
+from relayout.operators.containment import layout_inventory, schema_containment
+from relayout.sources.staging import path_table_for
+from pyspark.sql import types as T
+
+INV = "pair_id bigint, name string, type string, comment string, is_partition int"
+
+
+def _run(spark, source_rows, target_rows, pairs=None, strict=True):
+    src = spark.createDataFrame(source_rows, INV)
+    tgt = spark.createDataFrame(target_rows, INV)
+    p = spark.createDataFrame([(x,) for x in pairs], "pair_id bigint") if pairs else None
+    return {r.pair_id: (r.valid, r.missing_columns) for r in schema_containment(src, tgt, p, strict=strict).collect()}
+
+
+def test_hand_cases(spark):
+    src = [
+        (1, "a", "int", None, 0), (1, "b", "string", "c", 1),            # equal sets
+        (2, "a", "int", None, 0),                                        # target has more
+        (3, "a", "int", None, 0),                                        # type differs
+        (4, "a", "int", "x", 0),                                         # comment differs
+        (5, "a", "int", None, 0),                                        # both comments unset
+        (6, "a", "int", None, 1),                                        # partition vs data: fine
+        (7, "a", "int", None, 0),                                        # no target rows
+        (8, "a", "int", None, 0), (8, "a", "int", None, 0),              # duplicates count once
+    ]
+    tgt = [
+        (1, "b", "string", "c", 0), (1, "a", "int", None, 1),
+        (2, "a", "int", None, 0), (2, "z", "int", None, 0),
+        (3, "a", "bigint", None, 0),
+        (4, "a", "int", "y", 0),
+        (5, "a", "int", None, 0),
+        (6, "a", "int", None, 0),
+        (8, "a", "int", None, 0), (8, "q", "int", None, 0), (8, "q", "int", None, 0),
+        (9, "a", "int", None, 0),                                        # no source rows
+    ]
+    got = _run(spark, src, tgt, pairs=[1, 2, 3, 4, 5, 6, 7, 8, 9, 10])
+    assert got == {1: (True, 0), 2: (False, 1), 3: (False, 1), 4: (False, 1), 5: (True, 0), 6: (True, 0),
+                   7: (False, 0), 8: (False, 1), 9: (False, 1), 10: (False, 0)}
+
+
+def test_by_name_ignores_type_and_comment(spark):
+    got = _run(spark, [(1, "a", "int", "x", 0)], [(1, "a", "bigint", None, 0)], strict=False)
+    assert got == {1: (True, 0)}
+
+
+def test_pairs_default_to_those_seen(spark):
+    got = _run(spark, [(1, "a", "int", None, 0)], [(2, "a", "int", None, 0)])
+    assert got == {1: (False, 0), 2: (False, 1)}
+
+
+def test_inventory_of_tables(spark):
+    schema = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "first"}),
+                           T.StructField("p", T.StringType())])
+    t = path_table_for(schema, "/nonexistent/never-read", ["p"])
+    rows = layout_inventory(spark, {1: t}).orderBy("name").collect()
+    assert [(r.name, r.type, r.comment, r.is_partition) for r in rows] == [("a", "int", "first", 0), ("p", "string", None, 1)]

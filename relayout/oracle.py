@@ -204,3 +204,12 @@ SQL["lookup_stats"] = LOOKUP_BASE + """
     LEFT JOIN (SELECT DISTINCT namespace, key FROM live_cache) c
            ON c.namespace = r.namespace AND c.key = r.key
     GROUP BY r.namespace"""
+
+SQL["lookup_store_loaded"] = LOOKUP_BASE + f""",
+    loaded AS (
+        SELECT s.namespace, s.key, s.name, s.balance, s.nation
+        FROM source s JOIN misses m ON m.namespace = s.namespace AND m.key = s.key)
+    SELECT namespace, key, name, balance, nation, expires_at FROM live_cache c
+    WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.namespace = c.namespace AND l.key = c.key)
+    UNION ALL
+    SELECT namespace, key, name, balance, nation, {AS_OF} + INTERVAL 7 DAY AS expires_at FROM loaded"""

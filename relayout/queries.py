@@ -15,15 +15,19 @@ from .fixtures import events_with_layout, table
 from .functions.predicates import Expr
 from .operators.job import relayout
 from .session import scratch_path
-from .sources.staging import path_table_for, write_table
+from .sources.staging import path_table_for, written_once
 
 # ---------------------------------------------------------------------------------------------
 # Relayout job
 # ---------------------------------------------------------------------------------------------
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str]):
-    return write_table(df, scratch_path(spark, name), partition_by)
+def _stage(spark: SparkSession, sf_dir: str, which: str, partition_by: list[str]):
+    """The source table: a driver table (``events`` with its date and hour columns) written once per
+    application in the given layout."""
+    build = (lambda: events_with_layout(spark, sf_dir)) if which == "events" else (lambda: table(spark, sf_dir, which))
+    return written_once(spark, ("source", sf_dir, which, tuple(partition_by)), build,
+                        f"{which}_by_{'_'.join(partition_by)}", partition_by)
 
 
 def _target(spark: SparkSession, like, name: str, partition_by: list[str], columns: list[str],
@@ -41,21 +45,21 @@ EVENT_TARGET_COLUMNS = ["event_id", "ts", "user_id", "value", "event_date", "eve
 
 def relayout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1: events by day -> one day's rows into a table partitioned by event type, props dropped."""
-    src = _stage(spark, events_with_layout(spark, sf_dir), "events_by_date", ["event_date"])
+    src = _stage(spark, sf_dir, "events", ["event_date"])
     tgt = _target(spark, src, "events_by_type", ["event_type"], EVENT_TARGET_COLUMNS)
     return relayout(spark, src, tgt, {"event_date": "2024-01-02"})
 
 
 def relayout_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: as Q1 with an empty predicate set: every row moves."""
-    src = _stage(spark, events_with_layout(spark, sf_dir), "events_by_date", ["event_date"])
+    src = _stage(spark, sf_dir, "events", ["event_date"])
     tgt = _target(spark, src, "events_by_type", ["event_type"], EVENT_TARGET_COLUMNS)
     return relayout(spark, src, tgt, {})
 
 
 def relayout_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3: events by type -> the 'view' rows into a table partitioned by date, then hour."""
-    src = _stage(spark, events_with_layout(spark, sf_dir), "events_by_type", ["event_type"])
+    src = _stage(spark, sf_dir, "events", ["event_type"])
     tgt = _target(spark, src, "events_by_date_hour", ["event_date", "event_hour"],
                   ["event_id", "ts", "user_id", "value", "props", "event_type", "event_date", "event_hour"])
     return relayout(spark, src, tgt, {"event_type": "view"})
@@ -65,7 +69,7 @@ def relayout_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: full load by type, then a reload of one day's 'view' rows. Only the 'view' target
     partition is replaced, and it is replaced whole: other days' 'view' rows are gone, every other
     type is untouched."""
-    src = _stage(spark, events_with_layout(spark, sf_dir), "events_by_date", ["event_date"])
+    src = _stage(spark, sf_dir, "events", ["event_date"])
     tgt = _target(spark, src, "events_by_type", ["event_type"], EVENT_TARGET_COLUMNS)
     relayout(spark, src, tgt, {})
     return relayout(spark, src, tgt, {"event_date": "2024-01-02", "event_type": "view"})
@@ -78,7 +82,7 @@ LINEITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_q
 def relayout_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: lineitem by line number -> every row into a table partitioned by return flag, then line
     status."""
-    src = _stage(spark, table(spark, sf_dir, "lineitem"), "lineitem_by_line", ["l_linenumber"])
+    src = _stage(spark, sf_dir, "lineitem", ["l_linenumber"])
     tgt = _target(spark, src, "lineitem_by_flag_status", ["l_returnflag", "l_linestatus"], LINEITEM_COLUMNS)
     return relayout(spark, src, tgt, {})
 
@@ -89,14 +93,14 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 def relayout_multi_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q6: orders by status -> finished urgent orders into a table partitioned by priority; one term
     prunes folders, the other is pushed into the scan."""
-    src = _stage(spark, table(spark, sf_dir, "orders"), "orders_by_status", ["o_orderstatus"])
+    src = _stage(spark, sf_dir, "orders", ["o_orderstatus"])
     tgt = _target(spark, src, "orders_by_priority", ["o_orderpriority"], ORDER_COLUMNS)
     return relayout(spark, src, tgt, {"o_orderstatus": "F", "o_orderpriority": "1-URGENT"})
 
 
 def relayout_expr_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q7: the day is given as a SQL expression; it folds to a constant and still prunes folders."""
-    src = _stage(spark, events_with_layout(spark, sf_dir), "events_by_date", ["event_date"])
+    src = _stage(spark, sf_dir, "events", ["event_date"])
     tgt = _target(spark, src, "events_by_hour", ["event_hour"],
                   ["event_id", "user_id", "event_type", "value", "event_date", "event_hour"])
     return relayout(spark, src, tgt,
@@ -106,7 +110,7 @@ def relayout_expr_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relayout_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q8: the target declares other types (key as text, price as a whole number); values are cast
     on the way in."""
-    src = _stage(spark, table(spark, sf_dir, "orders"), "orders_by_priority", ["o_orderpriority"])
+    src = _stage(spark, sf_dir, "orders", ["o_orderpriority"])
     tgt = _target(spark, src, "orders_typed", ["o_orderstatus"], ORDER_COLUMNS,
                   types={"o_orderkey": T.StringType(), "o_totalprice": T.LongType()})
     return relayout(spark, src, tgt, {})
@@ -135,8 +139,10 @@ def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _descriptors(spark: SparkSession, sf_dir: str):
     from .fixtures import descriptor_documents
     from .operators.descriptors import parse_descriptors
+    from .sources.tables import read_table
 
-    return parse_descriptors(descriptor_documents(spark, sf_dir))
+    docs = written_once(spark, ("descriptors", sf_dir), lambda: descriptor_documents(spark, sf_dir), "descriptors")
+    return parse_descriptors(read_table(spark, docs))
 
 
 def descriptor_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +222,16 @@ def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolution(spark, sf_dir).not_found
 
 
+def lookup_store_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache after storing what the read-through loaded (L2's store step, via L5)."""
+    from .fixtures import AS_OF, TTL_DAYS
+    from .operators.lookup import upsert
+
+    _, cache, _, _ = _lookup_inputs(spark, sf_dir)
+    stored = _resolution(spark, sf_dir).stored.drop("expires_at")
+    return upsert(cache, stored, AS_OF, TTL_DAYS * 86400)
+
+
 def lookup_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q16: the cache after storing one update per purchase event (the latest event per key wins)."""
     from .fixtures import AS_OF, TTL_DAYS

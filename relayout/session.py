@@ -23,6 +23,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
+        # Small shuffles still fill every core: writing many small partition files is bound by
+        # per-file cost, not bytes. Large shuffles are sized by the advisory partition size.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -30,3 +30,34 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple[str, .
         out = out.hint("rebalance", *partition_by)
     out.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(path)
     return table
+
+
+def materialize(df: DataFrame, name: str, partition_by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once below the session's shared scratch folder and read it back.
+
+    This cuts the lineage (a new state of a table that was computed from its previous state can then
+    replace it), and the copy lives on shared storage, so losing an executor loses nothing.
+    """
+    from ..session import scratch_path
+    from .tables import read_table
+
+    spark = df.sparkSession
+    return read_table(spark, write_table(df, scratch_path(spark, name), partition_by))
+
+
+_WRITTEN: dict = {}
+
+
+def written_once(spark, key: tuple, build, name: str, partition_by: list[str] | tuple[str, ...] = ()) -> PathTable:
+    """The table ``build()`` describes, written below the shared scratch folder the first time it is
+    asked for in this application and reused afterwards (input tables of the registered queries:
+    staged sources, generated documents). Rebuilt if its folder has gone."""
+    from ..session import scratch_path
+    from .tables import _path_exists
+
+    k = (spark.sparkContext.applicationId, key)
+    table = _WRITTEN.get(k)
+    if table is None or not _path_exists(spark, table.path):
+        table = write_table(build(), scratch_path(spark, name), partition_by)
+        _WRITTEN[k] = table
+    return table

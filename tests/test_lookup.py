@@ -83,3 +83,15 @@ def test_invalidate_and_refresh(spark, tables):
 def test_stats_count_every_request(tables):
     lookup, _, _, requests = tables
     assert _pairs(L.stats(requests, lookup, AS_OF), "namespace", "hits", "misses") == [("a", 4, 7), ("b", 1, 1)]
+
+
+def test_read_through_cycle_stores_what_it_loads(tables):
+    """A second read over the stored state answers the loaded keys from the cache."""
+    from relayout.sources.staging import materialize
+
+    lookup, negative, source, requests = tables
+    first = L.read_through(requests, lookup, source, AS_OF, negative=negative, ttl_seconds=3600)
+    state = materialize(L.upsert(lookup, first.stored.drop("expires_at"), AS_OF, 3600), "lookup_state")
+    second = L.read_through(requests, state, source, AS_OF, negative=negative, ttl_seconds=3600)
+    assert _pairs(second.found, "key", "origin") == _pairs(first.found.selectExpr("key", "'cache' AS origin"),
+                                                          "key", "origin")

@@ -9,8 +9,8 @@ A pair with no rows on one side is invalid.
 Plan, for many pairs at once:
 
     distinct source keys, distinct target keys       (map-side partial dedupe, then one shuffle each)
-    target LEFT ANTI source on all keys              (co-partitioned with the dedupe: no new shuffle)
-    union of per-side markers and missing rows -> one groupBy(pair_id)   (partial aggregation)
+    source FULL OUTER JOIN target on all keys        (co-partitioned with the dedupe: no new shuffle)
+    one groupBy(pair_id): has source, has target, target-only keys   (partial aggregation)
 
 Keys include the column name, so a pair holding a third of all rows is still spread over many
 tasks; the per-pair aggregation is pre-aggregated in every task before its shuffle.
@@ -46,18 +46,16 @@ def schema_containment(
     ``pairs`` (a DataFrame with ``pair_id``) lists the pairs to report; a listed pair with no
     inventory rows is invalid. Without it, every pair seen on either side is reported.
     """
-    s = _keys(source, strict)
-    t = _keys(target, strict)
-    key_names = s.columns
-    missing = t.join(s, on=key_names, how="left_anti")
-
-    def marks(df: DataFrame, src: int, tgt: int, miss: int) -> DataFrame:
-        return df.select("pair_id", F.lit(src).alias("src"), F.lit(tgt).alias("tgt"), F.lit(miss).alias("miss"))
-
-    per_pair = (
-        marks(s, 1, 0, 0).unionByName(marks(t, 0, 1, 0)).unionByName(marks(missing, 0, 0, 1))
-        .groupBy("pair_id")
-        .agg(F.max("src").alias("src"), F.max("tgt").alias("tgt"), F.sum("miss").alias("miss"))
+    s = _keys(source, strict).withColumn("_s", F.lit(1))
+    t = _keys(target, strict).withColumn("_t", F.lit(1))
+    key_names = [c for c in s.columns if c != "_s"]
+    # Both sides are already hash-partitioned on all keys by their dedupe, so the full outer join
+    # adds no exchange, and each side is computed once.
+    both = s.join(t, on=key_names, how="full_outer")
+    only_target = F.col("_t").isNotNull() & F.col("_s").isNull()
+    per_pair = both.groupBy("pair_id").agg(
+        F.max("_s").alias("src"), F.max("_t").alias("tgt"),
+        F.count_if(only_target).alias("miss"),
     )
     if pairs is not None:
         per_pair = pairs.select("pair_id").distinct().join(per_pair, "pair_id", "left")

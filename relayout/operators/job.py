@@ -50,7 +50,7 @@ def missing_columns(source: Layout, target: Layout, strict: bool = False) -> lis
 
 def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None) -> DataFrame:
     """S1 + P1-P4 + C1: the matching source rows, every column, columns ascending by name."""
-    df = read_table(spark, source)
+    df = read_table(spark, source, equal_to=predicates)
     cond = equalities(predicates)
     if cond is not None:
         df = df.where(cond)

@@ -48,6 +48,7 @@ def present(requests: DataFrame, lookup: DataFrame, as_of: Instant, keys: Sequen
 
 @dataclass(frozen=True)
 class Resolution:
+    resolved: DataFrame   # every requested key once: keys, status, cache and source payload
     found: DataFrame      # keys, payload, origin ('cache' | 'source')
     stored: DataFrame     # keys, payload, expires_at: loaded rows to store (upsert into lookup)
     not_found: DataFrame  # keys, expires_at: new negatives (empty when negatives are off)
@@ -69,25 +70,49 @@ def read_through(
     A requested key with a live negative entry is not loaded and counts as absent (L3, only when
     ``negative`` is given). Keys neither cached nor in the source become new negatives that expire
     after ``missing_ttl_seconds`` (L4). Loaded rows are returned for storing with ``ttl_seconds``.
+
+    Plan: the distinct requested keys, left-joined in turn to the live lookup, the live negatives
+    and the source. The dedupe leaves the keys hash-partitioned, so every later join shuffles only
+    its other side, and each input is read once. ``resolved`` is that one frame; materialize it
+    when several outputs are needed.
     """
     keys = list(keys)
     payload = [c for c in source.columns if c not in keys]
     wanted = _distinct_keys(requests, keys)
-    cached = _live(lookup, as_of).select(*keys, *payload)
-    hits = cached.join(wanted, keys, "left_semi")
-    misses = wanted.join(cached.select(*keys), keys, "left_anti")
+    cached = _live(lookup, as_of).select(
+        *keys, F.lit(True).alias("_in_cache"), *[F.col(c).alias(f"_cache_{c}") for c in payload])
+    fetched = source.select(
+        *keys, F.lit(True).alias("_in_source"), *[F.col(c).alias(f"_source_{c}") for c in payload])
+    resolved = wanted.join(cached, keys, "left")
+    blocked = F.lit(False)
     if negative is not None:
-        misses = misses.join(_live(negative, as_of).select(*keys), keys, "left_anti")
-    loaded = source.select(*keys, *payload).join(misses, keys, "left_semi")
-    found = (hits.withColumn("origin", F.lit("cache"))
-             .unionByName(loaded.withColumn("origin", F.lit("source"))))
-    stored = loaded.withColumn("expires_at", expiry(as_of, ttl_seconds))
+        resolved = resolved.join(
+            _live(negative, as_of).select(*keys).distinct().withColumn("_negative", F.lit(True)), keys, "left")
+        blocked = F.col("_negative").isNotNull()
+    # The source is only consulted for keys the cache misses and no live negative blocks.
+    resolved = resolved.join(
+        fetched, [*[resolved[k] == fetched[k] for k in keys], F.col("_in_cache").isNull() & ~blocked], "left"
+    ).select(*[resolved[k] for k in keys], *[c for c in resolved.columns if c not in keys],
+             *[c for c in fetched.columns if c not in keys])
+    status = (F.when(F.col("_in_cache").isNotNull(), F.lit("cache"))
+              .when(blocked, F.lit("negative"))
+              .when(F.col("_in_source").isNotNull(), F.lit("source"))
+              .otherwise(F.lit("absent")))
+    resolved = resolved.select(*keys, status.alias("status"), *[f"_cache_{c}" for c in payload],
+                               *[f"_source_{c}" for c in payload])
+
+    def origin(which: str) -> DataFrame:
+        return resolved.where(F.col("status") == which).select(
+            *keys, *[F.col(f"_{which}_{c}").alias(c) for c in payload])
+
+    found = (origin("cache").withColumn("origin", F.lit("cache"))
+             .unionByName(origin("source").withColumn("origin", F.lit("source"))))
+    stored = origin("source").withColumn("expires_at", expiry(as_of, ttl_seconds))
+    absent = resolved.where(F.col("status") == "absent").select(*keys)
     if negative is None:
-        not_found = misses.where(F.lit(False)).withColumn("expires_at", expiry(as_of, missing_ttl_seconds))
-    else:
-        not_found = (misses.join(source.select(*keys), keys, "left_anti")
-                     .withColumn("expires_at", expiry(as_of, missing_ttl_seconds)))
-    return Resolution(found, stored, not_found)
+        absent = absent.where(F.lit(False))
+    not_found = absent.withColumn("expires_at", expiry(as_of, missing_ttl_seconds))
+    return Resolution(resolved, found, stored, not_found)
 
 
 def upsert(

@@ -72,35 +72,36 @@ def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when((i == 1) & (F.col("l_discount") == 0), F.lit("x"))
                 .when(F.col("l_tax") >= 0.05, F.lit("2"))
                 .otherwise(F.lit("0")))
-        return F.create_map(
-            F.lit("name"), F.concat(F.lit("c"), i.cast("string")),
-            F.lit("type"), F.element_at(types, i),
-            F.lit("comment"), F.when(i % 2 == 1, F.col("l_returnflag")).otherwise(F.lit("")),
-            F.lit("is_partition"), flag,
+        return F.struct(
+            F.concat(F.lit("c"), i.cast("string")).alias("name"),
+            F.element_at(types, i).alias("type"),
+            F.when(i % 2 == 1, F.col("l_returnflag")).otherwise(F.lit("")).alias("comment"),
+            flag.alias("is_partition"),
         )
 
     def param(j):
-        return F.create_map(F.lit("param_key"), F.concat(F.lit("k"), (j % 3).cast("string")),
-                            F.lit("param_value"), F.concat_ws(":", F.col("l_orderkey").cast("string"), j.cast("string")))
+        return F.struct(F.concat(F.lit("k"), (j % 3).cast("string")).alias("param_key"),
+                        F.concat_ws(":", F.col("l_orderkey").cast("string"), j.cast("string")).alias("param_value"))
 
     def serde(suffix):
-        return F.create_map(F.lit("serde_input"), F.concat(F.lit("in."), suffix),
-                            F.lit("serde_output"), F.concat(F.lit("out."), suffix))
+        return F.struct(F.concat(F.lit("in."), suffix).alias("serde_input"),
+                        F.concat(F.lit("out."), suffix).alias("serde_output"))
 
     serde_list = (F.when(F.col("l_returnflag") == "R", F.array(serde(F.lit("Text")), serde(F.col("l_linestatus"))))
                   .when(F.col("l_returnflag") == "A", F.array(serde(F.lit("Text"))))
-                  .otherwise(F.array().cast("array<map<string,string>>")))
+                  .otherwise(F.array().cast("array<struct<serde_input:string,serde_output:string>>")))
     type_list = F.when(F.col("l_linestatus") == "F", F.array(
-        F.create_map(F.lit("table_type"), F.lit("MANAGED_TABLE"), F.lit("view_expanded_text"), F.lit("")),
-        F.create_map(F.lit("table_type"), F.lit("VIRTUAL_VIEW"), F.lit("view_expanded_text"), F.lit("select 1")),
+        F.struct(F.lit("MANAGED_TABLE").alias("table_type"), F.lit("").alias("view_expanded_text")),
+        F.struct(F.lit("VIRTUAL_VIEW").alias("table_type"), F.lit("select 1").alias("view_expanded_text")),
     ))
-    doc = F.create_map(
-        F.lit("columns"), F.when(F.col("l_tax") > 0, F.transform(F.sequence(F.lit(1), n), column)),
-        F.lit("table_params"), F.transform(F.sequence(F.lit(1), n + 1), param),
-        F.lit("serde_info"), serde_list,
-        F.lit("type_info"), type_list,
+    doc = F.struct(
+        F.when(F.col("l_tax") > 0, F.transform(F.sequence(F.lit(1), n), column)).alias("columns"),
+        F.transform(F.sequence(F.lit(1), n + 1), param).alias("table_params"),
+        serde_list.alias("serde_info"),
+        type_list.alias("type_info"),
     )
-    text = F.to_json(F.map_filter(doc, lambda k, v: v.isNotNull()))
+    # A null list is left out of the document (or written as null: parsed the same either way).
+    text = F.to_json(doc, {"ignoreNullFields": "true"})
     text = F.when(F.col("l_quantity") == 1, text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
     return li.select(
         F.concat(F.lit("db_"), F.lower(F.col("l_returnflag"))).alias("db"),

@@ -48,13 +48,22 @@ def missing_columns(source: Layout, target: Layout, strict: bool = False) -> lis
     return [n for n in target.names if n not in have_names]
 
 
-def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None) -> DataFrame:
-    """S1 + P1-P4 + C1: the matching source rows, every column, columns ascending by name."""
+def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None,
+            *, view: str | None = None) -> DataFrame:
+    """S1 + P1-P4 + C1: the matching source rows, every column, columns ascending by name.
+
+    V1: with ``view``, the extract is also registered as a session temp view of that name, so SQL
+    can refer to it. It stays lazy and uncached (a view name cannot carry a database prefix)."""
     df = read_table(spark, source, equal_to=predicates)
     cond = equalities(predicates)
     if cond is not None:
         df = df.where(cond)
-    return df.select(*[quote(c) for c in layout_of(spark, source).extract_order()])
+    df = df.select(*[quote(c) for c in layout_of(spark, source).extract_order()])
+    if view is not None:
+        if "." in view:
+            raise ValueError(f"temp view name {view!r} may not contain a dot")
+        df.createOrReplaceTempView(view)
+    return df
 
 
 def project_for_target(df: DataFrame, target: Layout) -> DataFrame:
@@ -125,6 +134,7 @@ def relayout(
     *,
     strict: bool = False,
     distribution: str = REBALANCE,
+    view: str | None = None,
 ) -> DataFrame:
     """Extract the matching rows of ``source`` and load them into ``target``.
 
@@ -138,5 +148,5 @@ def relayout(
     missing = missing_columns(src, tgt, strict=strict)
     if missing:
         raise ValueError(f"target columns not in the source: {missing}")
-    load(spark, extract(spark, source, predicates), target, distribution=distribution)
+    load(spark, extract(spark, source, predicates, view=view), target, distribution=distribution)
     return read_table(spark, target)

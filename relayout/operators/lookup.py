@@ -105,8 +105,12 @@ def read_through(
         return resolved.where(F.col("status") == which).select(
             *keys, *[F.col(f"_{which}_{c}").alias(c) for c in payload])
 
-    found = (origin("cache").withColumn("origin", F.lit("cache"))
-             .unionByName(origin("source").withColumn("origin", F.lit("source"))))
+    # one pass over the resolution (a union of two filtered branches would run the joins twice)
+    from_cache = F.col("status") == "cache"
+    found = resolved.where(F.col("status").isin("cache", "source")).select(
+        *keys,
+        *[F.when(from_cache, F.col(f"_cache_{c}")).otherwise(F.col(f"_source_{c}")).alias(c) for c in payload],
+        F.col("status").alias("origin"))
     stored = origin("source").withColumn("expires_at", expiry(as_of, ttl_seconds))
     absent = resolved.where(F.col("status") == "absent").select(*keys)
     if negative is None:
@@ -129,6 +133,9 @@ def upsert(
     Of several updates to one key the one with the greatest ``order_by`` wins (``max_by``,
     aggregated map-side first); without ``order_by`` the updates must be unique per key. The result
     holds only live entries: expired ones no longer exist.
+
+    Anti join plus union rather than a full outer join: when the updates are small, their keys can
+    be broadcast and the (large) lookup is never shuffled; a full outer join cannot be broadcast.
     """
     keys = list(keys)
     payload = [c for c in lookup.columns if c not in keys and c != "expires_at"]

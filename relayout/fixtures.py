@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 AS_OF = "2024-01-15 00:00:00"
 TTL_DAYS = 7
 MISSING_TTL_DAYS = 30
+NEGATIVE_TTL_DAYS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,7 +127,7 @@ def name_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 # requests (views and clicks ask for customers, other events for suppliers; the user id is the
 # key). The lookup caches the source rows of nations 0..19 (name lower-cased), expiring by nation
 # band: 0..4 a day before AS_OF, 5..7 exactly at AS_OF, 8..11 never, 12..19 a week after.
-# Negatives: keys asked for before 2024-01-08 that the source lacks, expiring 10 days after the
+# Negatives: keys asked for before 2024-01-08 that the source lacks, expiring 8 days after the
 # last such request, plus customers of nations 20..24 with a negative balance, live for a day.
 # ---------------------------------------------------------------------------------------------
 
@@ -170,7 +171,7 @@ def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = lookup_source(spark, sf_dir)
     early = lookup_requests(spark, sf_dir).where(F.col("ts") < F.lit("2024-01-08 00:00:00").cast("timestamp_ntz"))
     recorded = (early.join(src.select("namespace", "key"), ["namespace", "key"], "left_anti")
-                .groupBy("namespace", "key").agg((F.max("ts") + _days(10)).alias("expires_at")))
+                .groupBy("namespace", "key").agg((F.max("ts") + _days(NEGATIVE_TTL_DAYS)).alias("expires_at")))
     cus = table(spark, sf_dir, "customer")
     stale = cus.where((F.col("c_acctbal") < 0) & (F.col("c_nationkey") >= 20)).select(
         F.lit("customer").alias("namespace"), F.col("c_custkey").alias("key"), (_as_of() + _days(1)).alias("expires_at"))

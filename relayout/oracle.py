@@ -137,7 +137,7 @@ LOOKUP_BASE = f"""
                     ELSE {AS_OF} + INTERVAL 7 DAY END AS expires_at
         FROM source WHERE nation < 20),
     negative AS (
-        SELECT r.namespace, r.key, max(r.ts) + INTERVAL 10 DAY AS expires_at
+        SELECT r.namespace, r.key, max(r.ts) + INTERVAL 8 DAY AS expires_at
         FROM requests r
         WHERE r.ts < TIMESTAMP '2024-01-08 00:00:00'
           AND NOT EXISTS (SELECT 1 FROM source s WHERE s.namespace = r.namespace AND s.key = r.key)

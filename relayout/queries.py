@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .fixtures import events_with_layout, table
+from . import fixtures as fx
+from .fixtures import AS_OF, MISSING_TTL_DAYS, TTL_DAYS, events_with_layout, table
 from .functions.predicates import Expr
+from .operators.containment import schema_containment as contain
+from .operators.descriptors import parse_descriptors
 from .operators.job import relayout
+from .operators.lookup import invalidate, present, read_through, refresh, stats, upsert
+from .operators.names import all_tables, tables_matching
 from .session import scratch_path
 from .sources.staging import path_table_for, written_once
+from .sources.tables import read_table
 
 # ---------------------------------------------------------------------------------------------
 # Relayout job
@@ -124,10 +130,7 @@ def relayout_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9: per customer, is the (priority, line status) inventory contained in the (priority,
     order status) inventory; customers without orders or lines are invalid."""
-    from .fixtures import containment_inputs
-    from .operators.containment import schema_containment as contain
-
-    source, target, pairs = containment_inputs(spark, sf_dir)
+    source, target, pairs = fx.containment_inputs(spark, sf_dir)
     return contain(source, target, pairs)
 
 
@@ -137,11 +140,8 @@ def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _descriptors(spark: SparkSession, sf_dir: str):
-    from .fixtures import descriptor_documents
-    from .operators.descriptors import parse_descriptors
-    from .sources.tables import read_table
 
-    docs = written_once(spark, ("descriptors", sf_dir), lambda: descriptor_documents(spark, sf_dir), "descriptors")
+    docs = written_once(spark, ("descriptors", sf_dir), lambda: fx.descriptor_documents(spark, sf_dir), "descriptors")
     return parse_descriptors(read_table(spark, docs))
 
 
@@ -167,18 +167,12 @@ def descriptor_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def names_fullmatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q12: tables of database 'Economy' (any case) whose whole name is a red or blue rod or ring."""
-    from .fixtures import name_inventory
-    from .operators.names import tables_matching
-
-    return tables_matching(name_inventory(spark, sf_dir), "Economy", "(red|blue) (rod|ring)")
+    return tables_matching(fx.name_inventory(spark, sf_dir), "Economy", "(red|blue) (rod|ring)")
 
 
 def names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every table of database 'small' (matched case-insensitively)."""
-    from .fixtures import name_inventory
-    from .operators.names import all_tables
-
-    return all_tables(name_inventory(spark, sf_dir), "small")
+    return all_tables(fx.name_inventory(spark, sf_dir), "small")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -187,24 +181,17 @@ def names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup_inputs(spark: SparkSession, sf_dir: str):
-    from . import fixtures as fx
-
     return (fx.lookup_requests(spark, sf_dir), fx.lookup_cache(spark, sf_dir),
             fx.lookup_source(spark, sf_dir), fx.lookup_negative(spark, sf_dir))
 
 
 def lookup_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13: live cached entries of the requested keys."""
-    from .fixtures import AS_OF
-    from .operators.lookup import present
-
     requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
     return present(requests, cache, AS_OF)
 
 
 def _resolution(spark: SparkSession, sf_dir: str):
-    from .fixtures import AS_OF, MISSING_TTL_DAYS, TTL_DAYS
-    from .operators.lookup import read_through
 
     requests, cache, source, negative = _lookup_inputs(spark, sf_dir)
     return read_through(requests, cache, source, AS_OF, negative=negative,
@@ -224,9 +211,6 @@ def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_store_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache after storing what the read-through loaded (L2's store step, via L5)."""
-    from .fixtures import AS_OF, TTL_DAYS
-    from .operators.lookup import upsert
-
     _, cache, _, _ = _lookup_inputs(spark, sf_dir)
     stored = _resolution(spark, sf_dir).stored.drop("expires_at")
     return upsert(cache, stored, AS_OF, TTL_DAYS * 86400)
@@ -234,9 +218,6 @@ def lookup_store_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q16: the cache after storing one update per purchase event (the latest event per key wins)."""
-    from .fixtures import AS_OF, TTL_DAYS
-    from .operators.lookup import upsert
-
     requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
     updates = requests.where(F.col("event_type") == "purchase").select(
         "namespace", "key", F.concat(F.lit("user-"), F.col("key").cast("string")).alias("name"),
@@ -246,17 +227,12 @@ def lookup_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_invalidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q17: the cache without the keys of error events."""
-    from .operators.lookup import invalidate
-
     requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
     return invalidate(cache, requests.where(F.col("event_type") == "error"))
 
 
 def lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q18: the cache after reloading the keys requested on the last day from the source."""
-    from .fixtures import AS_OF, TTL_DAYS
-    from .operators.lookup import refresh
-
     requests, cache, source, _ = _lookup_inputs(spark, sf_dir)
     last_day = requests.where(F.to_date("ts") == F.lit("2024-01-30").cast("date"))
     return refresh(cache, last_day, source, AS_OF, TTL_DAYS * 86400)
@@ -264,8 +240,5 @@ def lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lookup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q19: per namespace, requests answered by a live cache entry and the others."""
-    from .fixtures import AS_OF
-    from .operators.lookup import stats
-
     requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
     return stats(requests, cache, AS_OF)

@@ -23,6 +23,7 @@ Semantics worth knowing:
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from typing import Any
 
@@ -34,6 +35,9 @@ from ..plans.distribution import REBALANCE, distribute_for_write
 from ..sources.tables import Layout, PathTable, Table, comment_of, layout_of, quote, read_table
 
 
+_CATALOG_WRITE = threading.Lock()
+
+
 def missing_columns(source: Layout, target: Layout, strict: bool = False) -> list[str]:
     """Target columns not found among all source columns (V2 for one pair, on column metadata).
 
@@ -49,7 +53,7 @@ def missing_columns(source: Layout, target: Layout, strict: bool = False) -> lis
 
 
 def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None,
-            *, view: str | None = None) -> DataFrame:
+            *, view: str | None = None, layout: Layout | None = None) -> DataFrame:
     """S1 + P1-P4 + C1: the matching source rows, every column, columns ascending by name.
 
     V1: with ``view``, the extract is also registered as a session temp view of that name, so SQL
@@ -58,7 +62,8 @@ def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] |
     cond = equalities(predicates)
     if cond is not None:
         df = df.where(cond)
-    df = df.select(*[quote(c) for c in layout_of(spark, source).extract_order()])
+    layout = layout or layout_of(spark, source)
+    df = df.select(*[quote(c) for c in layout.extract_order()])
     if view is not None:
         if "." in view:
             raise ValueError(f"temp view name {view!r} may not contain a dot")
@@ -91,18 +96,20 @@ def write_partitions(df: DataFrame, target: Table, partition_names: list[str]) -
     # insertInto is positional: order by the table's physical columns, values already by name.
     # A catalog datasource table ignores the per-write overwrite option (only the session setting
     # or the table's own options count), so the session setting is raised for this write only.
+    # The lock keeps two such writes from this process from interleaving their settings.
     spark = df.sparkSession
     physical = spark.table(target).columns
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.select(*[quote(c) for c in physical]).write.mode("overwrite").insertInto(target)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    with _CATALOG_WRITE:
+        before = spark.conf.get(key, None)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*[quote(c) for c in physical]).write.mode("overwrite").insertInto(target)
+        finally:
+            if before is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before)
 
 
 def load(
@@ -111,15 +118,18 @@ def load(
     target: Table,
     *,
     distribution: str = REBALANCE,
+    layout: Layout | None = None,
 ) -> None:
     """C2 -> W4 -> rebalance -> W1: write the extract into the target's partitions."""
-    layout = layout_of(spark, target)
-    write_partitions(load_frame(spark, extracted, target, distribution=distribution), target, layout.partition_names)
+    layout = layout or layout_of(spark, target)
+    frame = load_frame(spark, extracted, target, distribution=distribution, layout=layout)
+    write_partitions(frame, target, layout.partition_names)
 
 
-def load_frame(spark: SparkSession, extracted: DataFrame, target: Table, *, distribution: str = REBALANCE) -> DataFrame:
+def load_frame(spark: SparkSession, extracted: DataFrame, target: Table, *, distribution: str = REBALANCE,
+               layout: Layout | None = None) -> DataFrame:
     """The rows exactly as they are handed to the writer (for inspecting the plan)."""
-    layout = layout_of(spark, target)
+    layout = layout or layout_of(spark, target)
     if not layout.partition_names:
         raise ValueError("the target has no partition columns; a dynamic partition overwrite needs at least one")
     out = project_for_target(extracted, layout)
@@ -148,5 +158,6 @@ def relayout(
     missing = missing_columns(src, tgt, strict=strict)
     if missing:
         raise ValueError(f"target columns not in the source: {missing}")
-    load(spark, extract(spark, source, predicates, view=view), target, distribution=distribution)
+    load(spark, extract(spark, source, predicates, view=view, layout=src), target,
+         distribution=distribution, layout=tgt)
     return read_table(spark, target)

@@ -56,3 +56,12 @@ def test_inventory_of_tables(spark):
     t = path_table_for(schema, "/nonexistent/never-read", ["p"])
     rows = layout_inventory(spark, {1: t}).orderBy("name").collect()
     assert [(r.name, r.type, r.comment, r.is_partition) for r in rows] == [("a", "int", "first", 0), ("p", "string", None, 1)]
+
+
+def test_one_full_outer_join_and_one_pair_aggregation(spark):
+    from relayout.plans.explain import plan_text
+
+    src = spark.createDataFrame([(1, "a", "int", None, 0)], INV)
+    tgt = spark.createDataFrame([(1, "a", "int", "x", 0)], INV)
+    plan = plan_text(schema_containment(src, tgt), "simple")
+    assert plan.count("FullOuter") == 1 and plan.count("Join") == 1

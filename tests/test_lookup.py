@@ -95,3 +95,13 @@ def test_read_through_cycle_stores_what_it_loads(tables):
     second = L.read_through(requests, state, source, AS_OF, negative=negative, ttl_seconds=3600)
     assert _pairs(second.found, "key", "origin") == _pairs(first.found.selectExpr("key", "'cache' AS origin"),
                                                           "key", "origin")
+
+
+def test_read_through_joins_each_input_once(tables):
+    from relayout.plans.explain import plan_text
+
+    lookup, negative, source, requests = tables
+    r = L.read_through(requests, lookup, source, AS_OF, negative=negative)
+    for df in (r.found, r.resolved):
+        plan = plan_text(df, "simple")
+        assert plan.count("Join") == 3 and "Union" not in plan

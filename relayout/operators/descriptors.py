@@ -9,8 +9,9 @@ Input: a DataFrame with ``db, table, json``. A document looks like
 
 Rules: a column is a partition column when ``is_partition`` reads as the integer 1; duplicate
 parameter keys keep their last value; the last ``serde_info`` entry wins (none: empty strings); the
-first ``type_info`` entry wins (key absent: empty strings). Unknown keys are ignored; numbers in
-place of strings are read as their text.
+first ``type_info`` entry wins (list absent, or its first entry null: empty strings); a key missing
+from a chosen entry is null. Unknown keys are ignored; numbers in place of strings are read as
+their text.
 
 A document that cannot be described is not dropped silently: it goes to ``rejected`` with a reason
 (malformed JSON, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a null entry,
@@ -63,8 +64,6 @@ def _reason(doc: Column) -> Column:
         .when(null_entry(cols) | null_entry(doc["table_params"]) | null_entry(doc["serde_info"]),
               F.lit("null entry"))
         .when(F.size(doc["type_info"]) == 0, F.lit("empty type_info"))
-        .when(F.try_element_at(doc["type_info"], F.lit(1)).isNull() & doc["type_info"].isNotNull(),
-              F.lit("null entry"))
         .when(bad_flag, F.lit("is_partition is not an integer"))
     )
 
@@ -113,11 +112,12 @@ def _params(good: DataFrame) -> DataFrame:
 
 
 def _storage(good: DataFrame) -> DataFrame:
-    """Last serde entry (none: empty strings); first type entry (list absent: empty strings)."""
+    """Last serde entry (none: empty strings); first type entry (list absent or its first
+    entry null: empty strings)."""
     serde = F.try_element_at(F.col("doc.serde_info"), F.lit(-1))
     has_serde = F.size(F.col("doc.serde_info")) > 0
     type_info = F.try_element_at(F.col("doc.type_info"), F.lit(1))
-    has_type = F.col("doc.type_info").isNotNull()
+    has_type = type_info.isNotNull()
     return good.select(
         "db", "table",
         F.when(has_serde, serde["serde_input"]).otherwise(F.lit("")).alias("serde_input"),

@@ -94,3 +94,16 @@ def test_parse_is_shuffle_free(spark):
     d = _parse(spark, [_doc()])
     for df in (d.columns, d.params, d.storage, d.rejected):
         assert exchanges(df) == []
+
+
+def test_null_first_type_entry_keeps_defaults(spark):
+    d = _parse(spark, [_doc(type_info=[None, {"table_type": "VIRTUAL_VIEW", "view_expanded_text": "x"}])])
+    assert d.rejected.count() == 0
+    r = d.storage.first()
+    assert (r.table_type, r.view_expanded_text) == ("", "")
+
+
+def test_missing_keys_in_chosen_entries_are_null(spark):
+    d = _parse(spark, [_doc(serde_info=[{"serde_input": "in.A"}], type_info=[{"view_expanded_text": "v"}])])
+    r = d.storage.first()
+    assert (r.serde_input, r.serde_output, r.table_type, r.view_expanded_text) == ("in.A", None, None, "v")

@@ -84,15 +84,15 @@ def parse_descriptors(df: DataFrame, json_col: str = "json") -> Descriptors:
 def _columns(good: DataFrame) -> DataFrame:
     """One row per column; ``position`` is the document order, ``layout_position``
     puts data columns first and partition columns after, each group in document order."""
-    entries = F.transform(
+    # Sorting on (is_partition, position) puts data columns first, each group in document order.
+    layout = F.sort_array(F.transform(
         F.col("doc.columns"),
         lambda x, i: F.struct(
+            (_parsed_int(x["is_partition"]) == 1).alias("is_partition"),
             i.alias("position"),
             x["name"].alias("name"), x["type"].alias("type"), x["comment"].alias("comment"),
-            (_parsed_int(x["is_partition"]) == 1).alias("is_partition"),
         ),
-    )
-    layout = F.concat(F.filter(entries, lambda e: ~e["is_partition"]), F.filter(entries, lambda e: e["is_partition"]))
+    ))
     return (good.select("db", "table", F.posexplode(layout).alias("layout_position", "c"))
             .select("db", "table", F.col("c.position").alias("position"), "layout_position",
                     "c.name", "c.type", "c.comment", "c.is_partition"))

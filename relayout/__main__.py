@@ -1,4 +1,5 @@
-"""Run the relayout job from the command line (``spark-submit -m relayout`` or ``python -m relayout``).
+"""Run the relayout job from the command line (``python -m relayout``, or ``run_relayout.py`` under
+spark-submit).
 
     python -m relayout --source processed.events --target interim.events \\
         --where event_date=2017-08-01 --where event_hour=3 [--expr event_date="current_date() - 1"]

@@ -2,7 +2,7 @@
 spark-submit).
 
     python -m relayout --source processed.events --target interim.events \\
-        --where event_date=2017-08-01 --where event_hour=3 [--expr event_date="current_date() - 1"]
+        --where event_date=2017-08-01 --where-int event_hour=3 [--expr event_date="current_date() - 1"]
 
 ``--where`` values are text; ``--where-int`` values are whole numbers; ``--expr`` values are SQL
 expressions. The session comes from the cluster's configuration (``getOrCreate``).

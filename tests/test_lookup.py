@@ -105,3 +105,19 @@ def test_read_through_joins_each_input_once(tables):
     for df in (r.found, r.resolved):
         plan = plan_text(df, "simple")
         assert plan.count("Join") == 3 and "Union" not in plan
+
+
+def test_requests_are_pre_aggregated_before_their_shuffle(spark, tables):
+    """A key holding a third of all requests becomes one row per task before any shuffle: every
+    hash exchange of the plan sits on an aggregation."""
+    import re
+
+    from relayout.plans.explain import plan_text
+
+    lookup, _, _, _ = tables
+    hot = spark.range(30000).selectExpr("IF(id % 2 = 0, 'a', 'b') AS namespace",
+                                        "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS key")
+    for df in (L.present(hot, lookup, AS_OF), L.stats(hot, lookup, AS_OF)):
+        plan = plan_text(df, "simple")
+        children = re.findall(r"Exchange hashpartitioning\([^\n]*\n\s*\+- (\w+)", plan)
+        assert children and set(children) == {"HashAggregate"}, plan

@@ -131,7 +131,8 @@ def upsert(
     """The lookup after storing ``updates`` with expiry ``as_of + ttl`` (TTL <= 0: never).
 
     Of several updates to one key the one with the greatest ``order_by`` wins (``max_by``,
-    aggregated map-side first); without ``order_by`` the updates must be unique per key. The result
+    aggregated map-side first; ties go to the greatest payload, deterministically); without
+    ``order_by`` the updates must be unique per key. The result
     holds only live entries: expired ones no longer exist.
 
     Anti join plus union rather than a full outer join: when the updates are small, their keys can
@@ -140,8 +141,12 @@ def upsert(
     keys = list(keys)
     payload = [c for c in lookup.columns if c not in keys and c != "expires_at"]
     if order_by is not None:
+        # Ties on order_by are broken by the payload itself, so a recomputed stage picks the same
+        # row as the first run did.
+        types = dict(updates.dtypes)
+        tie_break = [F.col(c) for c in payload if "map<" not in types[c]]
         latest = (updates.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*payload), F.col(order_by)).alias("_v"))
+                  .agg(F.max_by(F.struct(*payload), F.struct(F.col(order_by), *tie_break)).alias("_v"))
                   .select(*keys, *[F.col("_v")[c].alias(c) for c in payload]))
     else:
         latest = updates.select(*keys, *payload)

@@ -121,3 +121,12 @@ def test_requests_are_pre_aggregated_before_their_shuffle(spark, tables):
         plan = plan_text(df, "simple")
         children = re.findall(r"Exchange hashpartitioning\([^\n]*\n\s*\+- (\w+)", plan)
         assert children and set(children) == {"HashAggregate"}, plan
+
+
+def test_upsert_ties_are_deterministic(spark, tables):
+    lookup = tables[0]
+    updates = spark.createDataFrame([("a", 5, "x", 1), ("a", 5, "z", 1), ("a", 5, "y", 1)],
+                                    "namespace string, key bigint, v string, seq int")
+    for _ in range(3):
+        got = L.upsert(lookup, updates.repartition(3), AS_OF, 0, order_by="seq").where("key = 5").first()
+        assert got.v == "z"

@@ -42,6 +42,7 @@ INT_TEXT = r"^[+-]?[0-9]+$"
 
 @dataclass(frozen=True)
 class Descriptors:
+    fields: DataFrame    # db, table, position, name, type, comment (D6: every parseable "columns" list)
     columns: DataFrame   # db, table, position, layout_position, name, type, comment, is_partition
     params: DataFrame    # db, table, param_key, param_value
     storage: DataFrame   # db, table, serde_input, serde_output, table_type, view_expanded_text
@@ -78,7 +79,17 @@ def parse_descriptors(df: DataFrame, json_col: str = "json") -> Descriptors:
     parsed = parsed.withColumn("reason", _reason(F.col("doc")))
     good = parsed.where(F.col("reason").isNull())
     rejected = parsed.where(F.col("reason").isNotNull()).select("db", "table", F.col(json_col).alias("json"), "reason")
-    return Descriptors(_columns(good), _params(good), _storage(good), rejected)
+    return Descriptors(_fields(parsed), _columns(good), _params(good), _storage(good), rejected)
+
+
+def _fields(parsed: DataFrame) -> DataFrame:
+    """The field list as the plain listing call gives it: every entry of ``columns`` in document
+    order, for every document that parses and has that list; the other keys and ``is_partition``
+    are not looked at, so documents rejected for those reasons still list their fields."""
+    listed = parsed.where(F.col("doc").isNotNull() & F.col("doc._corrupt_record").isNull()
+                          & F.col("doc.columns").isNotNull())
+    return (listed.select("db", "table", F.posexplode("doc.columns").alias("position", "c"))
+            .select("db", "table", "position", "c.name", "c.type", "c.comment"))
 
 
 def _columns(good: DataFrame) -> DataFrame:

@@ -83,6 +83,15 @@ SQL["descriptor_columns"] = DESCRIPTOR_BASE + """
            (i % 2 = 0) AS is_partition
     FROM (SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM good)"""
 
+SQL["descriptor_fields"] = DESCRIPTOR_BASE + """
+    SELECT db, "table",
+           CAST(i - 1 AS INTEGER) AS position,
+           'c' || CAST(i AS VARCHAR) AS name,
+           (['bigint', 'string', 'double', 'date', 'timestamp', 'int', 'boolean'])[i] AS type,
+           CASE WHEN i % 2 = 1 THEN l_returnflag ELSE '' END AS comment
+    FROM (SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM li
+          WHERE l_quantity <> 1 AND l_tax > 0)"""
+
 SQL["descriptor_params"] = DESCRIPTOR_BASE + """
     SELECT db, "table",
            'k' || CAST(j % 3 AS VARCHAR) AS param_key,

@@ -145,6 +145,11 @@ def _descriptors(spark: SparkSession, sf_dir: str):
     return parse_descriptors(read_table(spark, docs))
 
 
+def descriptor_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plain field listing: every parseable column list, whatever else the document holds."""
+    return _descriptors(spark, sf_dir).fields
+
+
 def descriptor_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q10: the column inventory of every well-formed descriptor, in document and layout order."""
     return _descriptors(spark, sf_dir).columns

@@ -107,3 +107,12 @@ def test_missing_keys_in_chosen_entries_are_null(spark):
     d = _parse(spark, [_doc(serde_info=[{"serde_input": "in.A"}], type_info=[{"view_expanded_text": "v"}])])
     r = d.storage.first()
     assert (r.serde_input, r.serde_output, r.table_type, r.view_expanded_text) == ("in.A", None, None, "v")
+
+
+def test_field_listing_ignores_other_rules(spark):
+    docs = [_doc(), _doc(columns=[{"name": "a", "is_partition": "yes"}]), _doc(table_params=None),
+            _doc(columns=None), '{"columns": [']
+    d = _parse(spark, docs)
+    got = sorted((r.table, r.position, r.name) for r in d.fields.collect())
+    assert got == [("t0", 0, "event_id"), ("t0", 1, "event_date"), ("t0", 2, "v"), ("t1", 0, "a"),
+                   ("t2", 0, "event_id"), ("t2", 1, "event_date"), ("t2", 2, "v")]

@@ -47,7 +47,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from pyspark.sql import SparkSession
 
         spark = SparkSession.builder.appName("relayout").getOrCreate()
-    relayout(spark, args.source, args.target, predicates, strict=args.strict, distribution=args.distribution)
+    relayout(spark, args.source, args.target, predicates, strict=args.strict, distribution=args.distribution,
+             reread=False)
     return 0
 
 

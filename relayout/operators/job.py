@@ -145,12 +145,15 @@ def relayout(
     strict: bool = False,
     distribution: str = REBALANCE,
     view: str | None = None,
-) -> DataFrame:
+    reread: bool = True,
+) -> DataFrame | None:
     """Extract the matching rows of ``source`` and load them into ``target``.
 
     Checks before reading any row that every target column exists in the source (by name, or by
     name, type and comment with ``strict=True``) and that the target is partitioned. Returns the
-    target table, re-read lazily.
+    target table re-read, or None with ``reread=False``: building a DataFrame over a path table
+    lists all of its files at once, which a caller that does not use the result should not pay for
+    on a large target.
     """
     src, tgt = layout_of(spark, source), layout_of(spark, target)
     if not tgt.partition_names:
@@ -160,4 +163,4 @@ def relayout(
         raise ValueError(f"target columns not in the source: {missing}")
     load(spark, extract(spark, source, predicates, view=view, layout=src), target,
          distribution=distribution, layout=tgt)
-    return read_table(spark, target)
+    return read_table(spark, target) if reread else None

@@ -186,8 +186,16 @@ def names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup_inputs(spark: SparkSession, sf_dir: str):
-    return (fx.lookup_requests(spark, sf_dir), fx.lookup_cache(spark, sf_dir),
-            fx.lookup_source(spark, sf_dir), fx.lookup_negative(spark, sf_dir))
+    """Requests (a projection of ``events``), and the cache, negative and source tables, which are
+    stored tables in real use: derived from the driver tables and written once per application."""
+
+    def stored(name, build):
+        return read_table(spark, written_once(spark, ("lookup", sf_dir, name), build, f"lookup_{name}"))
+
+    return (fx.lookup_requests(spark, sf_dir),
+            stored("cache", lambda: fx.lookup_cache(spark, sf_dir)),
+            stored("source", lambda: fx.lookup_source(spark, sf_dir)),
+            stored("negative", lambda: fx.lookup_negative(spark, sf_dir)))
 
 
 def lookup_present(spark: SparkSession, sf_dir: str) -> DataFrame:

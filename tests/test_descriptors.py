@@ -116,3 +116,10 @@ def test_field_listing_ignores_other_rules(spark):
     got = sorted((r.table, r.position, r.name) for r in d.fields.collect())
     assert got == [("t0", 0, "event_id"), ("t0", 1, "event_date"), ("t0", 2, "v"), ("t1", 0, "a"),
                    ("t2", 0, "event_id"), ("t2", 1, "event_date"), ("t2", 2, "v")]
+
+
+def test_params_null_key_and_value(spark):
+    params = [{"param_key": None, "param_value": "a"}, {"param_value": "b"}, {"param_key": "k", "param_value": None},
+              {"param_key": "k", "param_value": "c"}, {"param_key": "j"}]
+    got = {(r.param_key, r.param_value) for r in _parse(spark, [_doc(table_params=params)]).params.collect()}
+    assert got == {(None, "b"), ("k", "c"), ("j", None)}

@@ -65,3 +65,21 @@ def test_one_full_outer_join_and_one_pair_aggregation(spark):
     tgt = spark.createDataFrame([(1, "a", "int", "x", 0)], INV)
     plan = plan_text(schema_containment(src, tgt), "simple")
     assert plan.count("FullOuter") == 1 and plan.count("Join") == 1
+
+
+def test_containment_of_real_table_layouts(spark, scratch):
+    """V2 over layouts of actual tables: one pair contained, one with a retyped column, one with a
+    changed comment (strict only)."""
+    base = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "first"}),
+                         T.StructField("b", T.StringType()), T.StructField("p", T.StringType())])
+    retyped = T.StructType([T.StructField("a", T.LongType(), True, {"comment": "first"}), base.fields[2]])
+    recommented = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "other"}), base.fields[2]])
+    src = path_table_for(base, scratch("inv_src"), ["p"])
+    narrow = path_table_for(base, scratch("inv_narrow"), ["p"], columns=["a", "p"])
+    source_inv = layout_inventory(spark, {1: src, 2: src, 3: src})
+    target_inv = layout_inventory(spark, {1: narrow, 2: path_table_for(retyped, scratch("inv_r"), ["p"]),
+                                          3: path_table_for(recommented, scratch("inv_c"), ["p"])})
+    strict = {r.pair_id: r.valid for r in schema_containment(source_inv, target_inv).collect()}
+    by_name = {r.pair_id: r.valid for r in schema_containment(source_inv, target_inv, strict=False).collect()}
+    assert strict == {1: True, 2: False, 3: False}
+    assert by_name == {1: True, 2: True, 3: True}

@@ -52,6 +52,14 @@ def missing_columns(source: Layout, target: Layout, strict: bool = False) -> lis
     return [n for n in target.names if n not in have_names]
 
 
+def _same_table(a: Table, b: Table) -> bool:
+    if isinstance(a, PathTable) and isinstance(b, PathTable):
+        return a.path.rstrip("/").removeprefix("file:") == b.path.rstrip("/").removeprefix("file:")
+    if isinstance(a, str) and isinstance(b, str):
+        return a.lower() == b.lower()
+    return False
+
+
 def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None,
             *, view: str | None = None, layout: Layout | None = None) -> DataFrame:
     """S1 + P1-P4 + C1: the matching source rows, every column, columns ascending by name.
@@ -155,6 +163,9 @@ def relayout(
     lists all of its files at once, which a caller that does not use the result should not pay for
     on a large target.
     """
+    if _same_table(source, target):
+        raise ValueError("source and target are the same table: its partitions would be overwritten while "
+                         "they are read; write to another table (or materialize the source first)")
     src, tgt = layout_of(spark, source), layout_of(spark, target)
     if not tgt.partition_names:
         raise ValueError("the target has no partition columns; a dynamic partition overwrite needs at least one")

@@ -22,12 +22,13 @@ def path_table_for(df_schema: T.StructType, path: str, partition_by: list[str] |
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...],
                 fmt: str = "parquet") -> PathTable:
-    """Write ``df`` to a fresh folder, partitioned, rebalanced on the partition columns so each
-    partition gets few, evenly sized files. Returns the table description."""
+    """Write ``df`` to a fresh folder, partitioned, spread over write tasks by the partition columns
+    like the job's own write (rebalance, or a deterministic salt without AQE) so each partition gets
+    few, evenly sized files. Returns the table description."""
+    from ..plans.distribution import distribute_for_write
+
     table = path_table_for(df.schema, path, partition_by, fmt=fmt)
-    out = df.select(*[quote(n) for n in table.schema.fieldNames()])
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    out = distribute_for_write(df.select(*[quote(n) for n in table.schema.fieldNames()]), list(partition_by))
     out.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(path)
     return table
 

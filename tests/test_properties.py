@@ -154,3 +154,96 @@ def test_narrowed_scan_matches_filter(spark, scratch, p, q, use_q):
 
 
 _NARROW: dict = {}
+
+
+# --- descriptors: every output against a plain-Python reading of the rules -----------------------
+
+import json as _json  # noqa: E402
+import re as _re  # noqa: E402
+
+_col = st.one_of(st.none(), st.fixed_dictionaries(
+    {"name": st.sampled_from(["a", "b", "c"])},
+    optional={"type": st.sampled_from(["int", "string"]), "comment": st.sampled_from(["", "x"]),
+              "is_partition": st.sampled_from(["0", "1", "2", "+1", "-0", "x", " 1", "99999999999"])}))
+_param = st.one_of(st.none(), st.fixed_dictionaries(
+    {}, optional={"param_key": st.sampled_from(["k1", "k2"]), "param_value": st.sampled_from(["v1", "v2", "v3"])}))
+_serde = st.one_of(st.none(), st.fixed_dictionaries(
+    {}, optional={"serde_input": st.sampled_from(["i1", "i2"]), "serde_output": st.sampled_from(["o1", "o2"])}))
+_type = st.one_of(st.none(), st.fixed_dictionaries(
+    {}, optional={"table_type": st.sampled_from(["T1", "T2"]), "view_expanded_text": st.sampled_from(["", "v"])}))
+_doc_st = st.fixed_dictionaries({}, optional={
+    "columns": st.one_of(st.none(), st.lists(_col, max_size=4)),
+    "table_params": st.one_of(st.none(), st.lists(_param, max_size=4)),
+    "serde_info": st.one_of(st.none(), st.lists(_serde, max_size=3)),
+    "type_info": st.one_of(st.none(), st.lists(_type, max_size=2)),
+})
+
+
+def _int_text(v):
+    return v is not None and _re.fullmatch(r"[+-]?[0-9]+", v) is not None and -2**31 <= int(v) < 2**31
+
+
+def _describe(doc):
+    cols, params, serde, types = (doc.get(k) for k in ("columns", "table_params", "serde_info", "type_info"))
+    reason = None
+    if cols is None:
+        reason = "missing columns"
+    elif params is None:
+        reason = "missing table_params"
+    elif serde is None:
+        reason = "missing serde_info"
+    elif any(x is None for x in cols + params + serde):
+        reason = "null entry"
+    elif types == []:
+        reason = "empty type_info"
+    elif any(not _int_text(c.get("is_partition")) for c in cols):
+        reason = "is_partition is not an integer"
+    fields = [] if cols is None else [
+        (i, None, None, None) if c is None else (i, c.get("name"), c.get("type"), c.get("comment"))
+        for i, c in enumerate(cols)]
+    if reason:
+        return reason, fields, None, None, None
+    part = [int(c["is_partition"]) == 1 for c in cols]
+    order = [i for i in range(len(cols)) if not part[i]] + [i for i in range(len(cols)) if part[i]]
+    columns = sorted((i, order.index(i), cols[i].get("name"), part[i]) for i in range(len(cols)))
+    merged = {}
+    for p in params:
+        merged[p.get("param_key")] = p.get("param_value")
+    last = serde[-1] if serde else None
+    first = types[0] if types else None
+    storage = ((last.get("serde_input"), last.get("serde_output")) if last is not None else ("", ""),
+               (first.get("table_type"), first.get("view_expanded_text")) if first is not None else ("", ""))
+    return None, fields, columns, set(merged.items()), storage
+
+
+@settings(SETTINGS, max_examples=30)
+@given(docs=st.lists(_doc_st, min_size=1, max_size=6))
+def test_descriptors_match_model(spark, docs):
+    from relayout.operators.descriptors import parse_descriptors
+
+    df = spark.createDataFrame([("db", f"t{i}", _json.dumps(d)) for i, d in enumerate(docs)],
+                               "db string, table string, json string")
+    d = parse_descriptors(df)
+    rejected = {r.table: r.reason for r in d.rejected.collect()}
+    fields = {}
+    for r in d.fields.collect():
+        fields.setdefault(r.table, []).append((r.position, r.name, r.type, r.comment))
+    columns = {}
+    for r in d.columns.collect():
+        columns.setdefault(r.table, []).append((r.position, r.layout_position, r.name, r.is_partition))
+    params = {}
+    for r in d.params.collect():
+        params.setdefault(r.table, set()).add((r.param_key, r.param_value))
+    storage = {r.table: ((r.serde_input, r.serde_output), (r.table_type, r.view_expanded_text))
+               for r in d.storage.collect()}
+    for i, doc in enumerate(docs):
+        t = f"t{i}"
+        reason, want_fields, want_columns, want_params, want_storage = _describe(doc)
+        assert rejected.get(t) == reason, (doc, rejected.get(t))
+        assert sorted(fields.get(t, [])) == want_fields, doc
+        if reason is None:
+            assert sorted(columns.get(t, [])) == want_columns, doc
+            assert params.get(t, set()) == want_params, doc
+            assert storage[t] == want_storage, doc
+        else:
+            assert t not in columns and t not in params and t not in storage

@@ -56,7 +56,7 @@ def _typed(preds):
             if v is None or (k == "a") == isinstance(v, str)}
 
 
-@SETTINGS
+@settings(SETTINGS, max_examples=15)
 @given(rows=rows_st, first=pred_st, second=pred_st)
 def test_relayout_matches_model(spark, scratch, rows, first, second):
     rows = [(i, v, b, c, a) for i, (v, b, c, a) in enumerate(rows)]

@@ -18,6 +18,7 @@ import math
 import re
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -124,7 +125,7 @@ def keep_identified(documents: DataFrame, dictionaries: dict[str, bytes], *, tex
         work = make()
 
         def keep(batch):
-            return batch.filter(pa.compute.invert(work(batch).column("rejected")))
+            return batch.filter(pc.invert(work(batch).column("rejected")))
 
         return keep
 

@@ -12,7 +12,9 @@ Segments with less than two shingles say little (many sets have the same), empty
 are E spare segments, and a set may leave out up to E plain segments: those with too few shingles (one or
 two, as allocated, are enough), and those whose signature is *hot* (held by ``HOT`` sets or more). What is left out depends on the segment's content alone, so two
 sets that agree there leave out the same; since similar sets agree on more than E segments, one that both
-index remains. A set with more than E such segments indexes them all, and pairs of such sets meet there.
+index remains. A set with more than E such segments is indexed again in a finer partition, with as many
+segments as elements, where it may leave out all but a few more than H; pairs of such sets meet there. Only
+sets that consist of hot content almost wholly keep hot signatures.
 
 Sets meet in the band of the smaller one: a set is indexed in its own band, and as a guest in the earlier
 ones whose sets can be its partner.
@@ -110,6 +112,15 @@ class Bands:
             # without a difference there are no partners but equal sets
             self.plan.append(allocate(lo, differ) if differ else (0, 0, 0, 1))
 
+    def fine(self, band: int) -> tuple[int, int, int, int]:
+        """Plain segments only, as many as the band's largest set has elements."""
+        while len(self.hi) <= band:
+            self.reach(self.hi[-1] + 1)
+        hi = self.hi[band]
+        differ = hi * (self.q - self.p) // self.p
+        y = max(hi, 2 * differ + 2)
+        return 0, y, y - differ - 1, 1
+
     def of(self, size: int) -> list[tuple[int, bool]]:
         """The bands where a set of this size is indexed, and whether as a guest."""
         self.reach(size)
@@ -156,11 +167,11 @@ def set_hashes(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def signatures(value: np.ndarray, band: int, plan: tuple[int, int, int, int]) -> tuple[np.ndarray, int]:
-    """The signatures of one set in one band, and how many more plain segments it may leave out (-1:
-    it has to index all)."""
+    """The signatures of one set in one band (the lowest bit tells those of deletion segments), and how many
+    more plain segments it may leave out (-1: it has to index all)."""
     x, y, spare, least = plan
     cells = y + WIDE * x
-    seed = mix(np.array([band + 1], _U) * _U(0x2545F4914F6CDD1D))[0]
+    seed = mix(np.array([band + 1], np.int64).view(_U) * _U(0x2545F4914F6CDD1D))[0]
     place = mix(value ^ seed)
     cell = ((place >> _U(32)) * _U(cells) >> _U(32)).astype(np.int64)
     segment = np.where(cell < WIDE * x, cell // WIDE, cell - WIDE * x + x)
@@ -171,8 +182,8 @@ def signatures(value: np.ndarray, band: int, plan: tuple[int, int, int, int]) ->
     name, length = segment[first], np.diff(np.append(first, len(segment)))
     total = np.add.reduceat(token, first)
 
-    def signed(s, t, n):
-        return mix(t + mix(s.astype(_U) * _U(0xD1342543DE82EF95) + n.astype(_U) + seed))
+    def signed(s, t, n, deletion=0):
+        return mix(t + mix(s.astype(_U) * _U(0xD1342543DE82EF95) + n.astype(_U) + seed)) & ~_U(1) | _U(deletion)
 
     plain = name >= x
     strong = plain & (length >= least)
@@ -186,12 +197,12 @@ def signatures(value: np.ndarray, band: int, plan: tuple[int, int, int, int]) ->
         out.append(signed(empty, np.zeros(len(empty), _U), np.zeros(len(empty), np.int64)))
     if x:
         # deletion segments are always indexed: whole, and without each element
-        out.append(signed(name[~plain], total[~plain], length[~plain]))
+        out.append(signed(name[~plain], total[~plain], length[~plain], 1))
         empty = np.setdiff1d(np.arange(x), name[~plain])
-        out.append(signed(empty, np.zeros(len(empty), _U), np.zeros(len(empty), np.int64)))
+        out.append(signed(empty, np.zeros(len(empty), _U), np.zeros(len(empty), np.int64), 1))
         upto = int(length[~plain].sum())
         out.append(signed(segment[:upto], np.repeat(total[~plain], length[~plain]) - token[:upto],
-                          np.repeat(length[~plain], length[~plain]) - 1))
+                          np.repeat(length[~plain], length[~plain]) - 1, 1))
     return np.unique(np.concatenate(out)), max(-1, spare - weak)
 
 
@@ -283,26 +294,30 @@ def bit_filter(ids: DataFrame) -> bytes:
     return mask.tobytes()
 
 
-def _members(indexed: DataFrame) -> DataFrame:
-    """``sig, node, guest, at``: the sets of every signature that may bring two together, numbered with those
-    of the band first."""
-    rows = (indexed.select("node", F.explode("index").alias("b"))
-            .select("node", "b.band", "b.guest", "b.slack", F.explode("b.sigs").alias("sig")))
+def _shared(rows: DataFrame) -> DataFrame:
+    """``sig, node, guest, band, slack, held`` of the signatures that may bring two sets together."""
     # equal sets fall together here; all later steps keep this partitioning
     single = rows.repartition("sig").groupBy("sig", "node").agg(
         F.first("guest").alias("guest"), F.first("band").alias("band"), F.first("slack").alias("slack"))
     group = Window.partitionBy("sig")
-    shared = (single.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("own", F.count_if(~F.col("guest")).over(group))
-              .where("held > 1 and own > 0"))
-    shared = stage(shared.drop("own"), "signatures")
-    # a set leaves out its hot signatures if they are no more than it may leave out
-    hot = (shared.where(F.col("held") >= HOT).groupBy("node", "band")
-           .agg(F.count(F.lit(1)).alias("hot")))
-    left = (shared.join(hot, ["node", "band"], "left")
-            .where((F.col("held") < HOT) | (F.col("hot") > F.col("slack"))))
-    again = left.select("sig", "node", "guest").withColumn("held", F.count(F.lit(1)).over(group)).where("held > 1")
-    number = F.row_number().over(Window.partitionBy("sig").orderBy("guest", "node")) - 1
-    return again.withColumn("at", number)
+    return (single.withColumn("held", F.count(F.lit(1)).over(group)).withColumn("own", F.count_if(~F.col("guest")).over(group))
+            .where("held > 1 and own > 0").drop("own"))
+
+
+def _by_set(shared: DataFrame) -> DataFrame:
+    """The shared signatures with how many hot plain ones their set has in the band, and its weight."""
+    hot = (F.col("held") >= HOT) & (F.col("sig") % 2 == 0)
+    marked = shared.withColumn("is_hot", hot)
+    of_set = marked.groupBy("node", "band").agg(F.count_if("is_hot").alias("hot"), F.sum("held").alias("weight"))
+    return marked.join(of_set, ["node", "band"])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``sig, node, guest, at``: the sets of every signature. Sets that share most come first: the middle
+    of a cluster links most of it at once."""
+    again = rows.select("sig", "node", "guest", "weight").withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("sig")))
+    number = F.row_number().over(Window.partitionBy("sig").orderBy("guest", F.desc("weight"), "node")) - 1
+    return again.where("held > 1").select("sig", "node", "guest", number.alias("at"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -367,6 +382,43 @@ def links_to_components(members: DataFrame, sets: DataFrame, similar: tuple[int,
         first, width = first + width, 7 if width == 1 else width * 8
 
 
+def _refining(similar: tuple[int, int]):
+    def make():
+        bands = once(("bands", similar), lambda: Bands(similar))
+
+        def work(batch):
+            sigs, slack = [], []
+            for band, elements in zip(batch.column("band").to_pylist(), batch.column("elements"), strict=True):
+                bands.reach(len(elements))
+                found, left = signatures(elements.values.to_numpy(zero_copy_only=False).view(_U), -2 - band, bands.fine(band))
+                sigs.append(found.view(np.int64))
+                slack.append(left)
+            flat = np.concatenate(sigs) if sigs else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(np.append(0, np.cumsum([len(x) for x in sigs])).astype(np.int32), pa.array(flat))
+            return pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("band"), batch.column("guest"), pa.array(slack, pa.int32()), lists],
+                names=["node", "band", "guest", "slack", "sigs"])
+
+        return work
+
+    return make
+
+
+def _plain_and_fine(shared: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The signatures that bring sets together. Hot plain ones are left out: by the sets that may do so, at
+    once; by the others, for signatures of a finer partition, where many more segments may be left out.
+    What is hot there, too, in sets that consist of little else, stays."""
+    rows = stage(_by_set(shared), "by_set")
+    first = rows.where(~F.col("is_hot"))
+    crowded = rows.where(F.col("is_hot") & (F.col("hot") > F.col("slack"))).select("node", "band", "guest").distinct()
+    fine = (map_batches(crowded.join(sets, "node").select("node", "band", "guest", "elements"), _refining(similar),
+                        "node long, band int, guest boolean, slack int, sigs array<bigint>")
+            .select("node", "band", "guest", "slack", F.explode("sigs").alias("sig")))
+    second = _by_set(stage(_shared(fine), "fine_signatures"))
+    return (first.select("sig", "node", "guest", "weight")
+            .unionByName(second.where(~F.col("is_hot") | (F.col("hot") > F.col("slack"))).select("sig", "node", "guest", "weight")))
+
+
 def similar_components(documents: DataFrame, *, id_col="doc_id", text_col="text", words=WORDS,
                        similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """``id, n_shingles, component_id, text_hash`` of every row: the size of its set, the least id reachable
@@ -375,15 +427,18 @@ def similar_components(documents: DataFrame, *, id_col="doc_id", text_col="text"
     indexed = map_batches(narrow, _indexing(words, similar),
                           "_id long, node long, n_shingles long, "
                           "index array<struct<band:int,guest:boolean,slack:int,sigs:array<bigint>>>")
-    members = stage(_members(indexed), "members")
+    rows = (indexed.select("node", F.explode("index").alias("b"))
+            .select("node", "b.band", "b.guest", "b.slack", F.explode("b.sigs").alias("sig")))
+    shared = stage(_shared(rows), "signatures")
     plain = stage(map_batches(narrow.withColumn("_hash", F.xxhash64("_text")), _naming(words),
                               "_id long, _hash long, node long, n_shingles long"), "set_names")
     some = plain.where("n_shingles > 0 and _id is not null")
     vertices = stage(some.groupBy("node").agg(F.min("_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vertices")
-    needed = members.select("node").distinct().join(vertices, "node").select("id")
+    needed = shared.select("node").distinct().join(vertices, "node").select("id")
     bits = bit_filter(needed)
     sets = stage(map_batches(narrow.where(F.col("_id").isNotNull()).withColumn("_bit", _bit(F.col("_id"))),
                              _gathering(words, bits), "node long, elements array<bigint>").dropDuplicates(["node"]), "sets")
+    members = stage(_numbered(_plain_and_fine(shared, sets, similar)), "members")
     named = links_to_components(members, sets, similar)
     joined = vertices.join(named, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = joined.groupBy("comp").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("n"))

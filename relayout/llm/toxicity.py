@@ -31,6 +31,8 @@ from .common import fold_batches, map_batches, remainder, text_bytes
 
 #: At most this many labelled rows are learned from, and this many features kept.
 SAMPLE, FEATURES = 24_000, 4_000
+#: A feature must explain this much (log likelihood ratio, in nats): less is chance among so many features.
+MIN_GAIN = 10.0
 #: Figures and signs, and the letters they may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz", "#": "h"}
@@ -289,7 +291,7 @@ def learn(documents: DataFrame, labels: DataFrame, model: np.ndarray, training=N
     gain = (F.when(a > 0, F.col("n1") * F.log(a / mean)).otherwise(0.0)
             + F.when(b > 0, F.col("n0") * F.log(b / mean)).otherwise(0.0)
             + (n1 - F.col("n1")) * F.log((1 - a + 1e-9) / (1 - mean + 1e-9)) + (n0 - F.col("n0")) * F.log((1 - b + 1e-9) / (1 - mean + 1e-9)))
-    best = found.where(a > b).orderBy(gain.desc(), "feature").limit(features).collect()
+    best = found.where((a > b) & (gain >= MIN_GAIN)).orderBy(gain.desc(), "feature").limit(features).collect()
     known = {r["feature"]: k for k, r in enumerate(best)}
     rows = map_batches(texts, _indexing(model, known), "toxic int, found array<int>").collect()  # ``sample`` rows of few features
     weights, bias = fit_logistic([r["found"] for r in rows], np.array([r["toxic"] for r in rows], float), len(known))

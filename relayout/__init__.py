@@ -5,9 +5,9 @@ from .functions.expiry import expiry, live
 from .functions.names import folded, full_match
 from .functions.predicates import Expr, equalities
 from .operators.containment import layout_inventory, schema_containment
-from .operators.descriptors import Descriptors, parse_descriptors
-from .operators.job import extract, load, missing_columns, project_for_target, relayout
-from .operators.lookup import Resolution, invalidate, present, read_through, refresh, stats, upsert
+from .operators.descriptors import Descriptors, outputs_of, parse_descriptors
+from .operators.job import extract, load, missing_columns, project_for_target, relayout, write_session
+from .operators.lookup import Resolution, invalidate, present, read_through, record_negative, refresh, stats, upsert
 from .operators.names import all_tables, catalog_names, tables_matching
 from .sources.staging import materialize, write_table
 from .sources.tables import Layout, PathTable, layout_of, read_table
@@ -15,7 +15,7 @@ from .sources.tables import Layout, PathTable, layout_of, read_table
 __all__ = [
     "Descriptors", "Expr", "Layout", "PathTable", "Resolution", "all_tables", "catalog_names",
     "equalities", "expiry", "extract", "folded", "full_match", "invalidate", "layout_inventory",
-    "layout_of", "live", "load", "materialize", "missing_columns", "parse_descriptors", "present",
-    "project_for_target", "read_through", "read_table", "refresh", "relayout", "schema_containment",
-    "stats", "tables_matching", "upsert", "write_table",
+    "layout_of", "live", "load", "materialize", "missing_columns", "outputs_of", "parse_descriptors", "present",
+    "project_for_target", "read_through", "read_table", "record_negative", "refresh", "relayout", "schema_containment",
+    "stats", "tables_matching", "upsert", "write_session", "write_table",
 ]

@@ -1,8 +1,8 @@
 """Run the relayout job from the command line (``python -m relayout``, or ``run_relayout.py`` under
 spark-submit).
 
-    python -m relayout --source processed.events --target interim.events \\
-        --where event_date=2017-08-01 --where-int event_hour=3 [--expr event_date="current_date() - 1"]
+    python -m relayout --source raw.visits --target by_page.visits \\
+        --where visit_day=2024-02-03 --where-int visit_hour=3 [--expr visit_day="current_date() - 1"]
 
 ``--where`` values are text; ``--where-int`` values are whole numbers; ``--expr`` values are SQL
 expressions. The session comes from the cluster's configuration (``getOrCreate``).

@@ -54,7 +54,9 @@ def containment_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 # columns; odd ones carry is_partition '2' or '0' (both data). Parameters k0..k2 repeat, so later
 # values must win; serde entries: two for flag 'R', one for 'A', none for 'N'; type entries: two
 # for status 'F', the key absent for 'O'. Lines without discount get a non-integer flag, lines
-# without tax have no "columns" key, and lines of quantity 1 are cut short (malformed JSON).
+# without tax have no "columns" key, and lines of quantity 1 are cut short (malformed JSON). Quantities 2
+# to 8: no parameters, no serde list, a null parameter entry, an empty type list, a key that is no list, an
+# object as a column type, and a flag with a line end.
 # ---------------------------------------------------------------------------------------------
 
 # Fixed values of the descriptor fixture (also spelled out in the SQL twin).
@@ -62,15 +64,15 @@ COLUMN_TYPES = ["bigint", "string", "double", "date", "timestamp", "int", "boole
 
 
 def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .sources.tables import spread
-
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    li = table(spark, sf_dir, "lineitem")
+    quantity = F.col("l_quantity")
     n = F.col("l_linenumber")
     types = F.array(*[F.lit(t) for t in COLUMN_TYPES])
 
     def column(i):
         flag = (F.when(i % 2 == 0, F.lit("1"))
                 .when((i == 1) & (F.col("l_discount") == 0), F.lit("x"))
+                .when((i == 1) & (quantity == 8), F.lit("1\n"))
                 .when(F.col("l_tax") >= 0.05, F.lit("2"))
                 .otherwise(F.lit("0")))
         return F.struct(
@@ -95,15 +97,21 @@ def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("MANAGED_TABLE").alias("table_type"), F.lit("").alias("view_expanded_text")),
         F.struct(F.lit("VIRTUAL_VIEW").alias("table_type"), F.lit("select 1").alias("view_expanded_text")),
     ))
+    some_type = F.struct(F.lit("").alias("table_type"), F.lit("").alias("view_expanded_text"))
+    params = F.transform(F.sequence(F.lit(1), n + 1), param)
     doc = F.struct(
         F.when(F.col("l_tax") > 0, F.transform(F.sequence(F.lit(1), n), column)).alias("columns"),
-        F.transform(F.sequence(F.lit(1), n + 1), param).alias("table_params"),
-        serde_list.alias("serde_info"),
-        type_list.alias("type_info"),
+        F.when(quantity == 4, F.array_append(params, F.lit(None).cast("struct<param_key:string,param_value:string>")))
+        .when(quantity != 2, params).alias("table_params"),
+        F.when(quantity != 3, serde_list).alias("serde_info"),
+        F.when(quantity == 5, F.slice(F.array(some_type), 1, 0)).otherwise(type_list).alias("type_info"),
     )
     # A null list is left out of the document (or written as null: parsed the same either way).
     text = F.to_json(doc, {"ignoreNullFields": "true"})
-    text = F.when(F.col("l_quantity") == 1, text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
+    text = (F.when(quantity == 6, F.concat(F.lit('{"other":1,'), text.substr(F.lit(2), F.length(text))))
+            .when(quantity == 7, F.replace(text, F.lit('"type":"bigint"'), F.lit('"type":{"of":"bigint"}')))
+            .otherwise(text))
+    text = F.when(quantity == 1, text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
     return li.select(
         F.concat(F.lit("db_"), F.lower(F.col("l_returnflag"))).alias("db"),
         F.concat_ws("_", F.lit("t"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),

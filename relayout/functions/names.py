@@ -10,8 +10,11 @@ def full_match(col: Column, pattern: str) -> Column:
     """True when the *whole* value matches the Java regex ``pattern`` (case-sensitive).
 
     ``rlike`` alone is a substring search, and ``^...$`` still accepts a trailing newline; ``\\A``
-    and ``\\z`` pin the match to the first and last character.
+    and ``\\z`` pin the match to the first and last character. A quotation left open (``\\Q`` without
+    ``\\E``) runs to the end of the pattern, as it does on its own.
     """
+    if pattern.rfind(r"\Q") > pattern.rfind(r"\E"):
+        pattern += r"\E"
     return col.rlike(r"\A(?:" + pattern + r")\z")
 
 

@@ -6,8 +6,9 @@ a SQL expression whose *value* the column must equal (P3). The expression is par
 expression, so it can never widen the conjunction the way pasted SQL text could. ``None`` compares
 as SQL ``= NULL``: it keeps no row.
 
-A term on a partition column becomes a partition filter of the scan (P4): only matching folders
-are listed and read.
+A term on a partition column becomes a partition filter of the scan (P4): it is evaluated on the typed
+partition values, and only matching folders are read. (A path table's folders are listed all the same;
+a catalog table's come from the metastore.)
 """
 
 from __future__ import annotations

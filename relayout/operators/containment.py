@@ -6,14 +6,10 @@ pair, the target is contained in the source when every target column equals some
 by default equality is the whole field, name and type and comment, with two unset comments equal.
 A pair with no rows on one side is invalid.
 
-Plan, for many pairs at once:
-
-    distinct source keys, distinct target keys       (map-side partial dedupe, then one shuffle each)
-    source FULL OUTER JOIN target on all keys        (co-partitioned with the dedupe: no new shuffle)
-    one groupBy(pair_id): has source, has target, target-only keys   (partial aggregation)
-
-Keys include the column name, so a pair holding a third of all rows is still spread over many
-tasks; the per-pair aggregation is pre-aggregated in every task before its shuffle.
+Plan, for many pairs at once: both inventories are tagged and put together; one groupBy on the pair and
+the field says which sides have it (aggregated in every task before the shuffle), and one on the pair
+adds that up. There is no join on column keys and no sort, and grouping takes unset values as equal.
+Keys include the column name, so a pair holding a third of all rows is still spread over many tasks.
 """
 
 from __future__ import annotations
@@ -22,17 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _keys(inventory: DataFrame, strict: bool) -> DataFrame:
-    cols = [F.col("pair_id"), F.col("name")]
-    if strict:
-        # Comments compare null-safely: an unset comment equals only an unset comment. The pair
-        # (text, is-null) is an ordinary equi-join key, so no null-safe join condition is needed.
-        cols += [F.col("type"),
-                 F.coalesce(F.col("comment"), F.lit("")).alias("comment_text"),
-                 F.col("comment").isNull().alias("comment_unset")]
-    return inventory.select(*cols).distinct()
-
-
 def schema_containment(
     source: DataFrame,
     target: DataFrame,
@@ -46,25 +31,19 @@ def schema_containment(
     ``pairs`` (a DataFrame with ``pair_id``) lists the pairs to report; a listed pair with no
     inventory rows is invalid. Without it, every pair seen on either side is reported.
     """
-    s = _keys(source, strict).withColumn("_s", F.lit(1))
-    t = _keys(target, strict).withColumn("_t", F.lit(1))
-    key_names = [c for c in s.columns if c != "_s"]
-    # Both sides are already hash-partitioned on all keys by their dedupe, so the full outer join
-    # adds no exchange, and each side is computed once.
-    both = s.join(t, on=key_names, how="full_outer")
-    only_target = F.col("_t").isNotNull() & F.col("_s").isNull()
-    per_pair = both.groupBy("pair_id").agg(
-        F.max("_s").alias("src"), F.max("_t").alias("tgt"),
-        F.count_if(only_target).alias("miss"),
-    )
+    keys = ["pair_id", "name", "type", "comment"] if strict else ["pair_id", "name"]
+    both = (source.select(*keys, F.lit(True).alias("_s"), F.lit(False).alias("_t"))
+            .unionByName(target.select(*keys, F.lit(False).alias("_s"), F.lit(True).alias("_t"))))
+    fields = both.groupBy(*keys).agg(F.max("_s").alias("_s"), F.max("_t").alias("_t"))
+    per_pair = fields.groupBy("pair_id").agg(
+        F.max("_s").alias("src"), F.max("_t").alias("tgt"), F.count_if(F.col("_t") & ~F.col("_s")).alias("miss"))
     if pairs is not None:
         per_pair = pairs.select("pair_id").distinct().join(per_pair, "pair_id", "left")
-    has_both = (F.coalesce(F.col("src"), F.lit(0)) == 1) & (F.coalesce(F.col("tgt"), F.lit(0)) == 1)
-    missing_count = F.coalesce(F.col("miss"), F.lit(0)).cast("bigint")
+    missing = F.coalesce(F.col("miss"), F.lit(0)).cast("bigint")
     return per_pair.select(
         "pair_id",
-        (has_both & (missing_count == 0)).alias("valid"),
-        missing_count.alias("missing_columns"),
+        (F.coalesce("src", F.lit(False)) & F.coalesce("tgt", F.lit(False)) & (missing == 0)).alias("valid"),
+        missing.alias("missing_columns"),
     )
 
 

@@ -14,7 +14,8 @@ from a chosen entry is null. Unknown keys are ignored; numbers in place of strin
 their text.
 
 A document that cannot be described is not dropped silently: it goes to ``rejected`` with a reason
-(malformed JSON, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a null entry,
+(malformed JSON, another shape than lists of
+flat objects, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a null entry,
 an empty ``type_info`` list, an ``is_partition`` that is not an integer).
 
 Everything is evaluated row by row with JVM-side JSON, array and higher-order functions: no
@@ -37,7 +38,7 @@ DOCUMENT_SCHEMA = (
 )
 
 # Integer.parseInt accepts an optional sign and decimal digits only (no blanks), within int range.
-INT_TEXT = r"^[+-]?[0-9]+$"
+INT_TEXT = r"\A[+-]?[0-9]+\z"
 
 
 @dataclass(frozen=True)
@@ -47,18 +48,36 @@ class Descriptors:
     params: DataFrame    # db, table, param_key, param_value
     storage: DataFrame   # db, table, serde_input, serde_output, table_type, view_expanded_text
     rejected: DataFrame  # db, table, json, reason
+    parsed: DataFrame    # db, table, json, doc, flat, reason: what the others are views of
 
 
 def _parsed_int(c: Column) -> Column:
     return F.when(c.rlike(INT_TEXT), c.try_cast("int"))
 
 
-def _reason(doc: Column) -> Column:
+def _flat_lists(json: Column) -> Column:
+    """Whether the document is an object of lists of objects of plain values, as the typed read demands; null
+    where it is no JSON. (``from_json`` would read an object in a text's place as text.)"""
+    value = F.try_parse_json(json)
+    kinds = lambda v, allowed: ~F.schema_of_variant(v).rlike(f"^({allowed})")
+    tops = F.map_values(F.try_variant_get(value, "$", "map<string,variant>"))
+    lists = F.map_values(F.try_variant_get(value, "$", "map<string,array<variant>>"))
+    entries = F.map_values(F.try_variant_get(value, "$", "map<string,array<map<string,variant>>>"))
+    odd = lambda found: F.coalesce(found, F.lit(False))
+    wrong = (odd(F.exists(tops, lambda v: kinds(v, "ARRAY|VOID")))
+             | odd(F.exists(lists, lambda a: odd(F.exists(a, lambda v: kinds(v, "OBJECT|VOID")))))
+             | odd(F.exists(entries, lambda a: odd(F.exists(a, lambda e: odd(F.exists(
+                 F.map_values(e), lambda v: ~kinds(v, "OBJECT|ARRAY"))))))))
+    return F.when(value.isNotNull(), tops.isNotNull() & ~wrong)
+
+
+def _reason(doc: Column, flat: Column) -> Column:
     cols = doc["columns"]
     null_entry = lambda a: F.exists(a, lambda x: x.isNull())
     bad_flag = F.exists(cols, lambda x: _parsed_int(x["is_partition"]).isNull())
     return (
         F.when(doc.isNull() | doc["_corrupt_record"].isNotNull(), F.lit("malformed json"))
+        .when(~flat, F.lit("not lists of flat entries"))
         .when(cols.isNull(), F.lit("missing columns"))
         .when(doc["table_params"].isNull(), F.lit("missing table_params"))
         .when(doc["serde_info"].isNull(), F.lit("missing serde_info"))
@@ -70,16 +89,26 @@ def _reason(doc: Column) -> Column:
 
 
 def parse_descriptors(df: DataFrame, json_col: str = "json") -> Descriptors:
-    """Parse every document once; the four outputs are lazy views of that parse."""
+    """The five outputs are lazy views of one parse expression; each one that is run scans and parses
+    its input again. Where several are needed, run them over a materialized parse (``parsed`` of this
+    result, see :func:`relayout.materialize`)."""
     # The parse is the output of a generator (one element per row), so every later field access
     # reads that one struct. A plain column would let the optimizer split it into one pruned
     # from_json per accessed field: the same document parsed about ten times.
-    doc = F.from_json(F.col(json_col), DOCUMENT_SCHEMA)
-    parsed = df.select("db", "table", json_col, F.explode_outer(F.array(doc)).alias("doc"))
-    parsed = parsed.withColumn("reason", _reason(F.col("doc")))
+    # The session may name another corrupt-record column: the one of the schema is passed explicitly.
+    doc = F.from_json(F.col(json_col), DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    both = F.struct(doc.alias("doc"), _flat_lists(F.col(json_col)).alias("flat"))
+    parsed = df.select("db", "table", json_col, F.explode_outer(F.array(both)).alias("p")).select(
+        "db", "table", json_col, "p.doc", F.coalesce("p.flat", F.lit(False)).alias("flat"))
+    parsed = parsed.withColumn("reason", _reason(F.col("doc"), F.col("flat")))
+    return outputs_of(parsed.withColumnRenamed(json_col, "json"))
+
+
+def outputs_of(parsed: DataFrame) -> Descriptors:
+    """The five outputs of an already parsed (and, to parse once, materialized) table."""
     good = parsed.where(F.col("reason").isNull())
-    rejected = parsed.where(F.col("reason").isNotNull()).select("db", "table", F.col(json_col).alias("json"), "reason")
-    return Descriptors(_fields(parsed), _columns(good), _params(good), _storage(good), rejected)
+    rejected = parsed.where(F.col("reason").isNotNull()).select("db", "table", "json", "reason")
+    return Descriptors(_fields(parsed), _columns(good), _params(good), _storage(good), rejected, parsed)
 
 
 def _fields(parsed: DataFrame) -> DataFrame:
@@ -87,7 +116,7 @@ def _fields(parsed: DataFrame) -> DataFrame:
     order, for every document that parses and has that list; the other keys and ``is_partition``
     are not looked at, so documents rejected for those reasons still list their fields."""
     listed = parsed.where(F.col("doc").isNotNull() & F.col("doc._corrupt_record").isNull()
-                          & F.col("doc.columns").isNotNull())
+                          & F.col("flat") & F.col("doc.columns").isNotNull())
     return (listed.select("db", "table", F.posexplode("doc.columns").alias("position", "c"))
             .select("db", "table", "position", "c.name", "c.type", "c.comment"))
 

@@ -7,7 +7,7 @@ receive rows.
 
 It is one lazy DataFrame chain and one write action. Nothing is cached between extract and load, so
 Catalyst folds the two projections into the scan: only the target's columns are read, and the
-predicate reaches the scan as partition filters (folders never listed) and pushed filters.
+predicate reaches the scan as partition filters (other folders are not read) and pushed filters.
 
 Semantics worth knowing:
 
@@ -16,26 +16,26 @@ Semantics worth knowing:
   predicate are gone afterwards. That is the meaning of the original statement; callers that
   reload one source partition into a target partitioned otherwise should know it.
 * Columns are matched by name, never by position, so a target whose physical column order is not
-  alphabetical gets the right values.
+  alphabetical gets the right values; the same holds for fields of structs.
 * A target column the source lacks is an error (checked before any row is read), as is a target
   without partition columns. An empty extract changes nothing.
 """
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import equalities
 from ..plans.distribution import REBALANCE, distribute_for_write
 from ..sources.tables import Layout, PathTable, Table, comment_of, layout_of, quote, read_table
 
 
-_CATALOG_WRITE = threading.Lock()
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def missing_columns(source: Layout, target: Layout, strict: bool = False) -> list[str]:
@@ -52,12 +52,26 @@ def missing_columns(source: Layout, target: Layout, strict: bool = False) -> lis
     return [n for n in target.names if n not in have_names]
 
 
-def _same_table(a: Table, b: Table) -> bool:
-    if isinstance(a, PathTable) and isinstance(b, PathTable):
-        return a.path.rstrip("/").removeprefix("file:") == b.path.rstrip("/").removeprefix("file:")
+def _location(spark: SparkSession, table: Table) -> str | None:
+    """Where a table's files are, without scheme and trailing slash; None for a table without files."""
+    if isinstance(table, PathTable):
+        path = table.path
+    else:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type").collect()
+        if not rows:
+            return None
+        path = rows[0][0]
+    return path.rstrip("/").removeprefix("file:").replace("///", "/")
+
+
+def _same_table(spark: SparkSession, a: Table, b: Table) -> bool:
+    """Whether two names or paths mean one table: the catalog's own names are compared, then the folders."""
     if isinstance(a, str) and isinstance(b, str):
-        return a.lower() == b.lower()
-    return False
+        one, two = spark.catalog.getTable(a), spark.catalog.getTable(b)
+        if (one.catalog, one.namespace, one.name.lower()) == (two.catalog, two.namespace, two.name.lower()):
+            return True
+    where = _location(spark, a)
+    return where is not None and where == _location(spark, b)
 
 
 def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] | None = None,
@@ -66,7 +80,7 @@ def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] |
 
     V1: with ``view``, the extract is also registered as a session temp view of that name, so SQL
     can refer to it. It stays lazy and uncached (a view name cannot carry a database prefix)."""
-    df = read_table(spark, source, equal_to=predicates)
+    df = read_table(spark, source)
     cond = equalities(predicates)
     if cond is not None:
         df = df.where(cond)
@@ -79,6 +93,30 @@ def extract(spark: SparkSession, source: Table, predicates: Mapping[str, Any] |
     return df
 
 
+def conform(c: Column, have: T.DataType, want: T.DataType, path: str) -> Column:
+    """``c`` as the wanted type. Fields of structs are matched by name at every depth, also inside arrays
+    and maps (a plain cast would match them by position); one the value lacks is an error."""
+    if have == want:
+        return c
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        fields = []
+        for f in want.fields:
+            if f.name not in kinds:
+                raise ValueError(f"nested field {path}.{f.name} is not in the extract")
+            fields.append(conform(c.getField(f.name), kinds[f.name], f.dataType, f"{path}.{f.name}").alias(f.name))
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(c, lambda x: conform(x, have.elementType, want.elementType, f"{path}[]"))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        if have.keyType != want.keyType:
+            c = F.transform_keys(c, lambda k, _: conform(k, have.keyType, want.keyType, f"{path}.key"))
+        if have.valueType != want.valueType:
+            c = F.transform_values(c, lambda _, v: conform(v, have.valueType, want.valueType, f"{path}.value"))
+        return c
+    return c.cast(want)
+
+
 def project_for_target(df: DataFrame, target: Layout) -> DataFrame:
     """C2 + C3 + W4: the target's columns picked by name, in load order, cast to target types."""
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -86,14 +124,28 @@ def project_for_target(df: DataFrame, target: Layout) -> DataFrame:
     for name in target.load_order():
         if name not in have:
             raise ValueError(f"target column {name!r} is not in the extract")
-        want = target.field(name).dataType
-        c = F.col(quote(name))
-        cols.append(c if have[name] == want else c.cast(want).alias(name))
+        cols.append(conform(F.col(quote(name)), have[name], target.field(name).dataType, name).alias(name))
     return df.select(*cols)
 
 
+def write_session(spark: SparkSession, target: Table) -> SparkSession:
+    """The session to load ``target`` in. A catalog table follows the session's overwrite mode only, so it
+    gets a session of its own with dynamic overwrite: same catalog, settings and current database, and
+    the caller's session, where other threads may write, is left as it is."""
+    if isinstance(target, PathTable) or spark.conf.get(OVERWRITE_MODE).lower() == "dynamic":
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(OVERWRITE_MODE, "dynamic")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
 def write_partitions(df: DataFrame, target: Table, partition_names: list[str]) -> None:
-    """Overwrite just the target partitions present in ``df``."""
+    """Overwrite just the target partitions present in ``df``. For a catalog table ``df`` has to come
+    from a session with dynamic overwrite (:func:`write_session`)."""
     if isinstance(target, PathTable):
         (df.write.format(target.format)
            .mode("overwrite")
@@ -101,23 +153,13 @@ def write_partitions(df: DataFrame, target: Table, partition_names: list[str]) -
            .partitionBy(*partition_names)
            .save(target.path))
         return
-    # insertInto is positional: order by the table's physical columns, values already by name.
-    # A catalog datasource table ignores the per-write overwrite option (only the session setting
-    # or the table's own options count), so the session setting is raised for this write only.
-    # The lock keeps two such writes from this process from interleaving their settings.
     spark = df.sparkSession
+    if spark.conf.get(OVERWRITE_MODE).lower() != "dynamic":
+        raise ValueError(f"{OVERWRITE_MODE} is not dynamic in this session: all of {target} would be replaced; "
+                         "build the rows in write_session(spark, target)")
+    # insertInto is positional: order by the table's physical columns, values already by name.
     physical = spark.table(target).columns
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _CATALOG_WRITE:
-        before = spark.conf.get(key, None)
-        spark.conf.set(key, "dynamic")
-        try:
-            df.select(*[quote(c) for c in physical]).write.mode("overwrite").insertInto(target)
-        finally:
-            if before is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, before)
+    df.select(*[quote(c) for c in physical]).write.mode("overwrite").insertInto(target)
 
 
 def load(
@@ -163,7 +205,7 @@ def relayout(
     lists all of its files at once, which a caller that does not use the result should not pay for
     on a large target.
     """
-    if _same_table(source, target):
+    if _same_table(spark, source, target):
         raise ValueError("source and target are the same table: its partitions would be overwritten while "
                          "they are read; write to another table (or materialize the source first)")
     src, tgt = layout_of(spark, source), layout_of(spark, target)
@@ -172,6 +214,13 @@ def relayout(
     missing = missing_columns(src, tgt, strict=strict)
     if missing:
         raise ValueError(f"target columns not in the source: {missing}")
-    load(spark, extract(spark, source, predicates, view=view, layout=src), target,
-         distribution=distribution, layout=tgt)
-    return read_table(spark, target) if reread else None
+    extracted = extract(spark, source, predicates, view=view, layout=src)
+    writer = write_session(spark, target)
+    if writer is not spark:
+        extracted = extract(writer, source, predicates, layout=src)
+    load(writer, extracted, target, distribution=distribution, layout=tgt)
+    if writer is not spark:
+        spark.catalog.refreshTable(target)  # this session did not see the write
+    if not reread:
+        return None
+    return read_table(spark, target, must_exist=False)

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expiry import Instant, expiry, live
+from ..sources.staging import materialize
 
 KEYS = ("namespace", "key")
 
@@ -37,8 +38,13 @@ def _live(df: DataFrame, as_of: Instant) -> DataFrame:
     return df.where(live(F.col("expires_at"), as_of))
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key is complete: a null key equals no key, so it is never stored nor found."""
+    return df.dropna("any", subset=list(keys))
+
+
 def _distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
+    return _with_keys(df.select(*keys), keys).distinct()
 
 
 def present(requests: DataFrame, lookup: DataFrame, as_of: Instant, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -130,31 +136,43 @@ def upsert(
 ) -> DataFrame:
     """The lookup after storing ``updates`` with expiry ``as_of + ttl`` (TTL <= 0: never).
 
-    Of several updates to one key the one with the greatest ``order_by`` wins (``max_by``,
-    aggregated map-side first; ties go to the greatest payload, deterministically); without
-    ``order_by`` the updates must be unique per key. The result
-    holds only live entries: expired ones no longer exist.
+    Of several updates to one key the one with the greatest ``order_by`` wins; ties, and all updates
+    without ``order_by``, go to the greatest payload (map columns aside), so one row per key is stored and
+    a rerun stores the same. Updates with a null key are ignored. The result holds only live entries:
+    expired ones no longer exist.
+
+    The reduced updates are written once to the shared scratch folder, as the anti join and the union
+    both read them: their input is evaluated once, when this is called. (The reduction keeps structs, so
+    Spark sorts for it in every task and again after the shuffle; both sorts spill.)
 
     Anti join plus union rather than a full outer join: when the updates are small, their keys can
     be broadcast and the (large) lookup is never shuffled; a full outer join cannot be broadcast.
     """
     keys = list(keys)
     payload = [c for c in lookup.columns if c not in keys and c != "expires_at"]
-    if order_by is not None:
-        # Ties on order_by are broken by the payload itself, so a recomputed stage picks the same
-        # row as the first run did.
-        types = dict(updates.dtypes)
-        tie_break = [F.col(c) for c in payload if "map<" not in types[c]]
-        latest = (updates.groupBy(*keys)
-                  .agg(F.max_by(F.struct(*payload), F.struct(F.col(order_by), *tie_break)).alias("_v"))
-                  .select(*keys, *[F.col("_v")[c].alias(c) for c in payload]))
-    else:
-        latest = updates.select(*keys, *payload)
-    fresh = latest.withColumn("expires_at", expiry(as_of, ttl_seconds))
+    types = dict(updates.dtypes)
+    order = [F.col(order_by)] if order_by is not None else []
+    order += [F.col(c) for c in payload if "map<" not in types[c]] or [F.lit(0)]
+    latest = (_with_keys(updates, keys).groupBy(*keys)
+              .agg(F.max_by(F.struct(*payload), F.struct(*order)).alias("_v"))
+              .select(*keys, *[F.col("_v")[c].alias(c) for c in payload]))
+    fresh = materialize(latest, "updates").withColumn("expires_at", expiry(as_of, ttl_seconds))
     kept = _live(lookup, as_of).join(fresh.select(*keys), keys, "left_anti")
     return kept.select(*keys, *payload, "expires_at").unionByName(fresh)
 
 
+def record_negative(negative: DataFrame, not_found: DataFrame, as_of: Instant, keys: Sequence[str] = KEYS) -> DataFrame:
+    """L4: the negatives after recording ``not_found`` (keys, ``expires_at``; see :func:`read_through`). A key
+    recorded again gets its new expiry, the latest of several; expired negatives and null keys are dropped,
+    so the table does not grow beyond the live ones."""
+    keys = list(keys)
+    latest = _with_keys(not_found, keys).groupBy(*keys).agg(
+        F.max(F.struct(F.col("expires_at").isNull().alias("never"), F.col("expires_at"))).alias("_e"))
+    fresh = materialize(latest.select(*keys, F.col("_e.expires_at").alias("expires_at")), "negatives")
+    kept = _with_keys(_live(negative, as_of), keys).join(fresh.select(*keys), keys, "left_anti")
+    return kept.select(*keys, "expires_at").unionByName(fresh)
+
+
 def invalidate(lookup: DataFrame, doomed: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The lookup without the given keys. Negative entries are a separate table and stay."""
     return lookup.join(_distinct_keys(doomed, keys), list(keys), "left_anti")
@@ -169,7 +187,7 @@ def refresh(
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Reload the given keys from the source and store them; a key the source lacks keeps its
-    old entry."""
+    old entry. The source is scanned once."""
     keys = list(keys)
     payload = [c for c in lookup.columns if c not in keys and c != "expires_at"]
     reloaded = source.select(*keys, *payload).join(_distinct_keys(wanted, keys), keys, "left_semi")

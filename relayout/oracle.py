@@ -42,6 +42,29 @@ SQL: dict[str, str] = {
         FROM orders""",
 }
 
+SQL["relayout_text_on_int_partition"] = f"""
+    SELECT {EVENT_TARGET} FROM ({EVENTS_WITH_LAYOUT}) e WHERE event_hour = 3"""
+
+SQL["relayout_date_partition"] = """
+    SELECT event_id, user_id, value, CAST(ts AS DATE) AS event_day, event_type
+    FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-02'"""
+
+SQL["relayout_nested"] = """
+    SELECT event_id, user_id AS who_user, value AS who_value, value AS seen_value, user_id AS seen_user, event_type
+    FROM events"""
+
+SQL["relayout_catalog"] = f"""
+    WITH e AS ({EVENTS_WITH_LAYOUT})
+    SELECT 'target' AS origin, event_id, user_id, value, ts, event_type FROM e WHERE event_date = '2024-01-02'
+    UNION ALL
+    SELECT 'target', event_id, user_id, value, ts, 'kept' FROM e WHERE event_hour = 0
+    UNION ALL
+    SELECT 'view', event_id, user_id, value, ts, event_type FROM e WHERE event_date = '2024-01-02'"""
+
+SQL["names_catalog"] = """
+    SELECT DISTINCT 'brand_' || regexp_replace(lower(p_brand), '[^a-z0-9]+', '_', 'g') AS "table"
+    FROM part WHERE p_type = (SELECT min(p_type) FROM part)"""
+
 SQL["schema_containment"] = """
     WITH src AS (
         SELECT DISTINCT o_custkey AS pair_id, o_orderpriority AS name, o_orderstatus AS type,
@@ -70,7 +93,7 @@ DESCRIPTOR_BASE = """
         SELECT *, 'db_' || lower(l_returnflag) AS db,
                concat_ws('_', 't', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS "table"
         FROM lineitem),
-    good AS (SELECT * FROM li WHERE l_quantity <> 1 AND l_tax > 0 AND l_discount <> 0)"""
+    good AS (SELECT * FROM li WHERE l_quantity > 8 AND l_tax > 0 AND l_discount <> 0)"""
 
 SQL["descriptor_columns"] = DESCRIPTOR_BASE + """
     SELECT db, "table",
@@ -90,7 +113,7 @@ SQL["descriptor_fields"] = DESCRIPTOR_BASE + """
            (['bigint', 'string', 'double', 'date', 'timestamp', 'int', 'boolean'])[i] AS type,
            CASE WHEN i % 2 = 1 THEN l_returnflag ELSE '' END AS comment
     FROM (SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM li
-          WHERE l_quantity <> 1 AND l_tax > 0)"""
+          WHERE l_quantity NOT IN (1, 6, 7) AND l_tax > 0)"""
 
 SQL["descriptor_params"] = DESCRIPTOR_BASE + """
     SELECT db, "table",
@@ -112,10 +135,15 @@ SQL["descriptor_storage"] = DESCRIPTOR_BASE + """
 SQL["descriptor_rejected"] = DESCRIPTOR_BASE + """
     SELECT db, "table",
            CASE WHEN l_quantity = 1 THEN 'malformed json'
+                WHEN l_quantity = 6 OR (l_quantity = 7 AND l_tax > 0) THEN 'not lists of flat entries'
                 WHEN NOT (l_tax > 0) THEN 'missing columns'
+                WHEN l_quantity = 2 THEN 'missing table_params'
+                WHEN l_quantity = 3 THEN 'missing serde_info'
+                WHEN l_quantity = 4 THEN 'null entry'
+                WHEN l_quantity = 5 THEN 'empty type_info'
                 ELSE 'is_partition is not an integer' END AS reason
     FROM li
-    WHERE l_quantity = 1 OR NOT (l_tax > 0) OR l_discount = 0"""
+    WHERE l_quantity <= 8 OR NOT (l_tax > 0) OR l_discount = 0"""
 
 SQL["names_fullmatch"] = """
     SELECT p_partkey, p_type AS db, p_name AS "table"
@@ -177,6 +205,12 @@ SQL["lookup_negative"] = LOOKUP_BASE + f"""
     SELECT m.namespace, m.key, {AS_OF} + INTERVAL 30 DAY AS expires_at FROM misses m
     WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.namespace = m.namespace AND s.key = m.key)"""
 
+SQL["lookup_record_negative"] = LOOKUP_BASE + f"""
+    SELECT namespace, key, expires_at FROM live_negative
+    UNION ALL
+    SELECT m.namespace, m.key, {AS_OF} + INTERVAL 30 DAY FROM misses m
+    WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.namespace = m.namespace AND s.key = m.key)"""
+
 SQL["lookup_upsert"] = LOOKUP_BASE + f""",
     upd AS (
         SELECT namespace, key, 'user-' || CAST(key AS VARCHAR) AS name, value AS balance,

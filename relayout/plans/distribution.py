@@ -7,8 +7,9 @@ advisory-sized pieces and merges small ones, so file sizes stay even.
 
 When AQE is off, a plain hash repartition on the partition columns would put such a hot partition
 into one task. Then the rows are salted instead: hash-partitioned on the partition columns plus a
-salt taken from a hash of the whole row. The salt is deterministic, so a task re-run after an
-executor loss routes every row exactly as the first run did (``rand()`` would not).
+salt taken from a hash of the row (of its columns that can be hashed: maps cannot). There are as many
+salts as shuffle partitions, so a hot partition spreads over all tasks. The salt is deterministic, so a
+task re-run after an executor loss routes every row exactly as the first run did (``rand()`` would not).
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ def aqe_enabled(df: DataFrame) -> bool:
 
 
 def distribute_for_write(
-    df: DataFrame, partition_cols: list[str], mode: str = REBALANCE, salts: int = 16
+    df: DataFrame, partition_cols: list[str], mode: str = REBALANCE
 ) -> DataFrame:
     """Spread ``df`` over write tasks by the target partition columns."""
     if mode == NONE or not partition_cols:
         return df
     if mode == REBALANCE and aqe_enabled(df):
-        return df.hint("rebalance", *partition_cols)
+        return df.hint("rebalance", *[quote(c) for c in partition_cols])
     if mode not in (REBALANCE, SALTED):
         raise ValueError(f"unknown distribution {mode!r}")
-    salt = F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns]), F.lit(salts))
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashable = [F.col(quote(c)) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.pmod(F.xxhash64(*hashable) if hashable else F.lit(0), F.lit(salts))
     return df.repartition(*[F.col(quote(c)) for c in partition_cols], salt)

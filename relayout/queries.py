@@ -7,6 +7,8 @@ return the target as re-read from storage; so the returned rows are what the job
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,8 @@ from .functions.predicates import Expr
 from .operators.containment import schema_containment as contain
 from .operators.descriptors import parse_descriptors
 from .operators.job import relayout
-from .operators.lookup import invalidate, present, read_through, refresh, stats, upsert
-from .operators.names import all_tables, tables_matching
+from .operators.lookup import invalidate, present, read_through, record_negative, refresh, stats, upsert
+from .operators.names import all_tables, catalog_names, tables_matching
 from .session import scratch_path
 from .sources.staging import path_table_for, written_once
 from .sources.tables import read_table
@@ -122,6 +124,57 @@ def relayout_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relayout(spark, src, tgt, {})
 
 
+def relayout_text_on_int_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is partitioned by a whole number, the predicate gives it as the text '03'."""
+    src = _stage(spark, sf_dir, "events", ["event_hour"])
+    tgt = _target(spark, src, "events_of_hour", ["event_type"], EVENT_TARGET_COLUMNS)
+    return relayout(spark, src, tgt, {"event_hour": "03"})
+
+
+def relayout_date_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is partitioned by a date, the predicate spells it '2024-1-2'."""
+    build = lambda: table(spark, sf_dir, "events").withColumn("event_day", F.to_date("ts"))
+    src = written_once(spark, ("source", sf_dir, "events_dated"), build, "events_dated", ["event_day"])
+    tgt = _target(spark, src, "events_of_day", ["event_type"], ["event_id", "user_id", "value", "event_day", "event_type"])
+    return relayout(spark, src, tgt, {"event_day": "2024-1-2"})
+
+
+def relayout_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8d: the target declares the fields of a struct, and of structs in an array, in another order and with
+    other types; they are matched by name."""
+    def build():
+        return table(spark, sf_dir, "events").select(
+            "event_id", "event_type", F.hour("ts").alias("event_hour"), F.struct("user_id", "value").alias("who"),
+            F.array(F.struct("user_id", "value")).alias("seen"))
+
+    src = written_once(spark, ("source", sf_dir, "events_nested"), build, "events_nested", ["event_hour"])
+    swapped = T.StructType([T.StructField("value", T.DoubleType()), T.StructField("user_id", T.StringType())])
+    tgt = _target(spark, src, "events_swapped", ["event_type"], ["event_id", "who", "seen", "event_type"],
+                  types={"who": swapped, "seen": T.ArrayType(swapped)})
+    out = relayout(spark, src, tgt, {})
+    return out.select("event_id", F.col("who.user_id").cast("long").alias("who_user"), F.col("who.value").alias("who_value"),
+                      F.col("seen")[0]["value"].alias("seen_value"), F.col("seen")[0]["user_id"].cast("long").alias("seen_user"),
+                      "event_type")
+
+
+def relayout_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8e: one day's events between catalog tables. The target's physical column order is not alphabetical and
+    it holds a partition ('kept') that must survive; the extract is also read through its view."""
+    tag = uuid.uuid4().hex[:8]
+    source, target, view = f"relayout_src_{tag}", f"relayout_tgt_{tag}", f"relayout_day_{tag}"
+    events = events_with_layout(spark, sf_dir)
+    (events.hint("rebalance", "event_date").write.partitionBy("event_date")
+     .option("path", scratch_path(spark, source)).saveAsTable(source))
+    spark.sql(f"CREATE TABLE {target} (value DOUBLE, event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, event_type STRING) "
+              f"USING parquet PARTITIONED BY (event_type) LOCATION '{scratch_path(spark, target)}'")
+    (events.where("event_hour = 0").select("value", "event_id", "user_id", "ts", F.lit("kept").alias("event_type"))
+     .write.insertInto(target))
+    out = relayout(spark, source, target, {"event_date": "2024-01-02"}, view=view)
+    columns = ["event_id", "user_id", "value", "ts", "event_type"]
+    return (out.select(F.lit("target").alias("origin"), *columns)
+            .unionByName(spark.table(view).select(F.lit("view").alias("origin"), *columns)))
+
+
 # ---------------------------------------------------------------------------------------------
 # Schema containment (V2, V3)
 # ---------------------------------------------------------------------------------------------
@@ -180,6 +233,20 @@ def names_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_tables(fx.name_inventory(spark, sf_dir), "small")
 
 
+def names_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's own listing, by pattern, of a database with a table for every brand of the first
+    part type (and others beside them). Only the distinct brands and types, as table names, are collected."""
+    part = table(spark, sf_dir, "part")
+    db = f"parts_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    brand = F.regexp_replace(F.lower("p_brand"), "[^a-z0-9]+", "_")
+    first = part.agg(F.min("p_type")).first()[0]
+    names = [f"brand_{r[0]}" for r in part.where(F.col("p_type") == first).select(brand).distinct().collect()]
+    for name in [*names, "sizes", "types"]:
+        spark.sql(f"CREATE TABLE {db}.{name} (p_partkey BIGINT) USING parquet")
+    return catalog_names(spark, db, "BRAND_*").select("table")
+
+
 # ---------------------------------------------------------------------------------------------
 # Keyed lookup
 # ---------------------------------------------------------------------------------------------
@@ -222,6 +289,12 @@ def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolution(spark, sf_dir).not_found
 
 
+def lookup_record_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The negatives after recording the keys that were not found; expired ones are gone."""
+    _, _, _, negative = _lookup_inputs(spark, sf_dir)
+    return record_negative(negative, _resolution(spark, sf_dir).not_found, AS_OF)
+
+
 def lookup_store_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache after storing what the read-through loaded (L2's store step, via L5)."""
     _, cache, _, _ = _lookup_inputs(spark, sf_dir)

@@ -1,8 +1,9 @@
 """Session helpers: a local session for tests and the bench, and the shared scratch folder.
 
 Staged and intermediate tables go below the folder the cluster names in ``spark.checkpoint.dir``.
-That folder is shared by all executors, so a staged table survives the loss of any executor.
-Only a local session without that setting gets a fresh temporary folder of its own.
+That folder is shared by all executors, so a staged table survives the loss of any executor. The library
+demands that setting; :func:`local_scratch` is for the entry module, the bench and tests, which run in local
+sessions that may lack it.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "relayout") -> SparkSession:
     """A local session as the tests and the bench use it: AQE on, UI off, UTC."""
-    return (
+    return local_scratch(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -23,9 +24,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-        # Small shuffles still fill every core: writing many small partition files is bound by
-        # per-file cost, not bytes. Large shuffles are sized by the advisory partition size.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -36,18 +34,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Where it is unset, a local session gets a temporary folder (and it becomes the checkpoint
-    folder too); a cluster session must name a shared folder, so that case is an error.
+    Staged tables stay there until whoever names the folder empties it.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
         raise RuntimeError("spark.checkpoint.dir is unset: name a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="relayout-scratch-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir().rstrip("/")
+    return configured.rstrip("/")
+
+
+def local_scratch(spark: SparkSession) -> SparkSession:
+    """The session, with a temporary ``spark.checkpoint.dir`` if it is a local one that names none."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        if "local-cluster" not in spark.sparkContext.master:
+            spark.conf.set("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="relayout-scratch-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

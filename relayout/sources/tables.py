@@ -7,10 +7,8 @@ infer partition types (a string ``'2024-01-02'`` comes back as a date).
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping
 from dataclasses import dataclass
-from typing import Any, Union
+from typing import Union
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -109,41 +107,23 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-# Partition folder values written verbatim by Spark (anything else may be escaped in the path).
-_PLAIN_VALUE = re.compile(r"[A-Za-z0-9_.\- ]+")
-
-
-def partition_prefix(table: PathTable, equal_to: Mapping[str, Any] | None) -> str:
-    """The sub-folder holding every row whose leading partition columns equal the given values:
-    ``event_date=2024-01-02`` for a table partitioned by (event_date, event_hour). Stops at the first
-    partition column without a plain text or integer value."""
-    parts = []
-    for name in table.partition_by:
-        value = (equal_to or {}).get(name)
-        if isinstance(value, bool) or not isinstance(value, (str, int)) or not _PLAIN_VALUE.fullmatch(str(value)):
-            break
-        parts.append(f"{name}={value}")
-    return "/".join(parts)
-
-
-def read_table(spark: SparkSession, table: Table, equal_to: Mapping[str, Any] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, table: Table, *, must_exist: bool = True) -> DataFrame:
     """A lazy scan of the table, columns in schema order. Filters and projections applied on
     top reach the scan as partition filters, pushed filters and a pruned read schema.
 
-    For a path table, ``equal_to`` (column -> value the caller filters on anyway) narrows the scan
-    to the matching partition sub-folder, so only that folder is listed: listing every file of a
-    large table before pruning would dominate the job. The caller's filter still applies."""
+    A path table is listed whole when the scan is built; partition filters then decide on typed values
+    which folders are read, so every spelling that equals a value finds its rows. A folder that does
+    not exist is an error, unless ``must_exist`` is False (a target nothing was loaded into): then the
+    table is empty."""
     if not isinstance(table, PathTable):
         return spark.table(table)
-    prefix = partition_prefix(table, equal_to)
-    path = f"{table.path}/{prefix}" if prefix else table.path
-    if not _path_exists(spark, path):
+    if not must_exist and not _path_exists(spark, table.path):
         return spark.createDataFrame([], table.schema)
     df = (
         spark.read.schema(table.schema)
         .option("basePath", table.path)
         .format(table.format)
-        .load(path)
+        .load(table.path)
     )
     return df.select(*[quote(n) for n in table.schema.fieldNames()])
 
@@ -151,13 +131,3 @@ def read_table(spark: SparkSession, table: Table, equal_to: Mapping[str, Any] |
 def quote(name: str) -> str:
     """A column reference that takes the name literally (dots, spaces, backticks)."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than the cluster has cores (a single small
-    file is one split). A large input already has enough splits and is returned unchanged, so no
-    shuffle is added at scale. Hashing on keys keeps the spread deterministic under task retries."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[quote(k) for k in keys])

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.warehouse.dir", str(warehouse))
+         .config("spark.checkpoint.dir", "file:" + str(tmp_path_factory.mktemp("scratch")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -59,15 +59,28 @@ def join_unique(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str
     return rows.join(stage(side, "side"), list(keys), how)
 
 
+def slices(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``limit`` bytes or less (a larger row is alone). Work arrays
+    are many times as large as the texts, and Spark's batches have up to 10,000 rows."""
+    if batch.num_rows > 1 and batch.nbytes > limit:
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), limit)
+        yield from slices(batch.slice(half), limit)
+    else:
+        yield batch
+
+
 def map_batches(df: DataFrame, make: Callable, schema: str) -> DataFrame:
-    """``make()`` runs once per task and gives a function from an Arrow batch to a dict of columns."""
+    """``make()`` runs once per task and gives a function from an Arrow batch to a batch of results; it is
+    given ``slices`` of Spark's batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
         for batch in batches:
             if batch.num_rows:
                 work = work or make()
-                yield work(batch)
+                for part in slices(batch):
+                    yield work(part)
 
     return df.mapInArrow(run, schema)
 
@@ -102,6 +115,8 @@ def lookup(rows: DataFrame, side: DataFrame, keys: Sequence[str], size_col: str,
 # ---------------------------------------------------------------------------------------------
 
 _U = np.uint64
+#: Bytes hashed at a time.
+CHUNK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -157,14 +172,24 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     at = np.flatnonzero(start)
     if not len(at):
         return np.zeros(0, _U), np.zeros(n, np.int64)
-    chars = np.flatnonzero(inside)
-    head = np.searchsorted(chars, at)
-    length = np.diff(np.append(head, len(chars)))
-    place = np.arange(len(chars), dtype=np.int64) - np.repeat(head, length)
-    power = np.ones(int(length.max()), _U)
+    # a word's bytes, and the spaces after it, which count as zero
+    length = np.diff(np.append(at, len(data)))
+    stops = np.append(np.flatnonzero(np.diff(inside.astype(np.int8)) == -1), len(data) - 1)
+    word = np.minimum(stops[np.searchsorted(stops, at)] - at + 1, length)
+    value[space] = 0
+    power = np.ones(int(word.max()), _U)
     power[1:] = _U(0xD6E8FEB86659FD93)
     power = np.multiply.accumulate(power)
-    hashes = mix(np.add.reduceat(value[data[chars]] * power[place], head) + length.astype(_U))
+    sums = np.empty(len(at), _U)
+    i = 0
+    while i < len(at):  # by runs of words, so that a long text needs no work arrays of its size
+        j = max(i + 1, int(np.searchsorted(at, at[i] + CHUNK)))
+        end = at[j] if j < len(at) else len(data)
+        place = np.arange(at[i], end) - np.repeat(at[i:j], length[i:j])
+        terms = value[data[at[i]:end]] * power[np.minimum(place, len(power) - 1)]
+        sums[i:j] = np.add.reduceat(terms, at[i:j] - at[i])
+        i = j
+    hashes = mix(sums + word.astype(_U))
     counts = np.diff(np.searchsorted(at, offsets))
     return hashes, counts
 

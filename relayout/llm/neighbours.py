@@ -1,13 +1,17 @@
 """Operator 6, approximate nearest neighbours by collision counting.
 
-Largest inner product is turned into smallest distance: every vector gets one more component, which
-brings it to the largest norm R, and a query gets 0 there. Each hash function is one projection on a
-random direction. The rows are dealt out in blocks; a block keeps, per function, its vectors' numbers
-sorted by projection. A query opens a window around its own projection in every sorted array and
-widens all windows together (virtual rehashing); whenever a vector falls into a window, its
-collisions go up by one. Vectors with at least ``THRESHOLD`` of the windows are candidates; widening
-ends once a block has its share of candidates (``VERIFIED``, and the wanted number at least). Candidates
-are verified with the original vectors in double precision.
+The rows are dealt out in blocks, and the vectors of a block are cut by their norms into shells (no vector
+of a shell is shorter than ``SHORTEST`` of its longest). Largest inner product is turned into smallest
+distance within a shell: every vector gets one more component, which brings it to the shell's largest norm R,
+and a query is brought to norm R and gets 0 there, which changes no order. (With one R for all lengths that component would
+rule the projections, and windows would open by length.) Each hash function is one projection on a
+random direction; a shell keeps, per function, its vectors' numbers sorted by projection. A query opens
+a window around its own projection in every sorted array and widens all windows together (virtual
+rehashing); whenever a vector falls into a window, its collisions go up by one. Vectors with at least
+``THRESHOLD`` of the windows are candidates; widening ends once a shell has its share of candidates
+(``VERIFIED``, and ``LEAST`` times the wanted number at least). Candidates are verified with the original
+vectors in double precision. The longest shells come first; a block is done when its ``k`` best are above the
+product of the lengths of the query and of the next shell's longest vector, which nothing left can reach.
 
 All rows are indexed, without a sample. Queries meet every block (a stated query set against all rows,
 in blocks of ``BLOCK`` rows and ``QUERIES`` queries); each block gives its best ``k`` per query, and the
@@ -33,35 +37,47 @@ K, EVERY = 20, 20
 PROJECTIONS, THRESHOLD, VERIFIED = 64, 0.62, 0.3
 #: The first windows hold this part of a block; each widening adds this factor to their width.
 FIRST, WIDER = 0.5, 1.12
+SHORTEST, LEAST = 0.8, 10
 BLOCK, QUERIES = 16_384, 4_096
 SEED = 5
 
 
-class Block:
-    """Sorted projections of a block of vectors."""
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    """Norms of the rows (none is zero), without overflow on the way."""
+    top = np.abs(vectors).max(1)
+    return top * np.sqrt(((vectors / top[:, None]) ** 2).sum(1))
+
+
+class Shell:
+    """Sorted projections of vectors of about the same length, in units of the longest."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray):
+        self.ids, self.vectors, self.norms, self.longest = ids, vectors, norms, norms.max()
+        self.order = None  # only large shells are indexed, when first asked
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = SEED):
-        self.ids, self.vectors = ids, vectors
-        n, d = vectors.shape
-        norms = (vectors ** 2).sum(1)
-        more = np.sqrt(np.maximum(norms.max() - norms, 0))
+    def index(self, seed: int = SEED) -> None:
+        n, d = self.vectors.shape
+        more = np.sqrt(np.maximum(1 - (self.norms / self.longest) ** 2, 0))
         rng = np.random.default_rng(seed)
         # directions in groups that are orthogonal, so that functions repeat one another less
         groups = []
         while sum(g.shape[1] for g in groups) < PROJECTIONS:
             groups.append(np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0][:, :d])
         self.directions = np.concatenate(groups, 1)[:, :PROJECTIONS]
-        projected = (np.concatenate([vectors, more[:, None]], 1) @ self.directions).T
+        projected = (np.concatenate([self.vectors / self.longest, more[:, None]], 1) @ self.directions).T
         self.order = np.argsort(projected, 1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(projected, self.order, 1)
         spread = self.sorted[:, (3 * n) // 4] - self.sorted[:, n // 4]
         self.unit = np.where(spread > 0, spread, 1.0)  # widths are told per function in units of its spread
 
     def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
+        """``query``: of length 1, as the longest vector is here."""
         n = len(self.ids)
-        wanted = min(n, max(k, int(VERIFIED * n)))
-        if wanted >= n or n < 4 * k:
+        wanted = min(n, max(LEAST * k, int(VERIFIED * n)))
+        if wanted >= n or not np.isfinite(self.longest):
             return np.arange(n)
+        if self.order is None:
+            self.index()
         at = np.append(query, 0.0) @ self.directions
         count = np.zeros(n, np.int64)
         least = max(1, int(THRESHOLD * PROJECTIONS))
@@ -83,12 +99,35 @@ class Block:
                 return found
             width = width * WIDER
 
+
+class Block:
+    """The vectors of a block in shells, the longest first."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        norms = lengths(vectors)
+        down = np.argsort(-norms, kind="stable")
+        ids, vectors, norms = ids[down], vectors[down], norms[down]
+        self.shells, at = [], 0
+        while at < len(ids):
+            # no vector of a shell is shorter than this part of its longest
+            end = max(at + 1, int(np.searchsorted(-norms, -norms[at] * SHORTEST, "right")))
+            self.shells.append(Shell(ids[at:end], vectors[at:end], norms[at:end]))
+            at = end
+
     def nearest(self, query_id, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        found = self.candidates(query, k + 1)
-        found = found[self.ids[found] != query_id]
-        scores = self.vectors[found] @ query
-        best = np.lexsort((self.ids[found], -scores))[:k]
-        return self.ids[found][best], scores[best]
+        length = lengths(query[None])[0]
+        ids, scores = self.shells[0].ids[:0], np.zeros(0)
+        for shell in self.shells:
+            # no product is above that of the lengths: no vector from here on can enter (the rest is for rounding)
+            if len(ids) >= k and scores[k - 1] > shell.longest * length * (1 + 1e-9):
+                break
+            found = shell.candidates(query / length, k + 1)
+            found = found[shell.ids[found] != query_id]
+            ids = np.concatenate([ids, shell.ids[found]])
+            scores = np.concatenate([scores, shell.vectors[found] @ query])
+            best = np.lexsort((ids, -scores))[:k]
+            ids, scores = ids[best], scores[best]
+        return ids, scores
 
 
 def usable(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:

@@ -292,6 +292,25 @@ def test_neighbours_recall(spark):
     assert hit / len(range(0, len(x), 20)) >= 0.9
 
 
+def test_neighbours_recall_of_uneven_lengths(spark):
+    rng = np.random.default_rng(3)
+    n, d = 3_000, 32
+    u = rng.standard_normal((n, d))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    one, short = u.copy(), u.copy()
+    one[17] *= 5
+    short[::60] *= 0.1
+    for x in (u, one, short, u * rng.lognormal(0, 0.5, n)[:, None], u * rng.lognormal(0, 1, n)[:, None]):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = neighbours.search(df, F.col("id") % 60 == 0).toPandas()
+        hit = 0
+        for q in range(0, n, 60):
+            s = x @ x[q]
+            s[q] = -np.inf
+            hit += len(set(np.argsort(-s, kind="stable")[:20].tolist()) & set(got[got.query_id == q].vec_id)) / 20
+        assert len(got) == 20 * len(range(0, n, 60)) and hit / len(range(0, n, 60)) >= 0.95
+
+
 def test_neighbours_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),

@@ -3,8 +3,9 @@
 A writer who hides a word sends its letters through a channel: figures and signs for letters, gaps
 between letters, letters repeated. A disguised spelling is therefore read as a lattice: per place,
 the letters it may stand for, with a channel cost, and the best path under a character language model
-is the restored spelling (Viterbi over pairs of letters). Spellings with one reading, which are
-almost all, need no search. A linear model over the words and word beginnings of the restored text
+is the restored spelling (Viterbi over pairs of letters). Every spelling with a sign, a figure, a gap or a
+repeated letter is searched, whatever its length and however many letters it has; its literal reading is a
+path like the others. Spellings with one reading, which are almost all, need no search. A linear model over the words and word beginnings of the restored text
 then gives the score.
 
 * The language model is a letter trigram model counted over all documents (a letter outside a-z
@@ -38,13 +39,24 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz", "#": "h"}
 GAPS = ".-_~'`"
 STRIP = ".,;:!?#$%&*\"'()[]{}<>|/\\-_~`+=^"
-SIGN, ANY, SHORTER, LITERAL, BREAK = 1.0, 3.5, 0.7, 2.5, 1.0
-#: Longer runs of non-blanks are no disguised word.
-LONGEST = 48
+#: ``DOUBLED``: a letter that a writer has written twice, once meant; ``MIXED``: more for a figure meant as one beside a letter.
+SIGN, ANY, SHORTER, DOUBLED, LITERAL, MIXED, BREAK = 1.0, 3.5, 0.7, 6.0, 2.5, 3.0, 1.0
+#: Of a run of one letter, at most so many are told apart.
+RUN = 3
+#: Paths are cut back to where they still differ after so many places.
+COMMIT = 256
 CLASSES = 28
-SPACED = re.compile(r"(?<!\w)\w(?:[ .\-_*]\w(?!\w)){3,}")
-TRIPLED = re.compile(r"([^\W\d_])\1\1")
-REMEMBERED = 300_000
+_ONE, _GAP = r"(?:[^\W_]|[@$!|+(#])", r"[ \t\xa0.\-_*~'`]+"
+#: Single letters, figures or signs with gaps between them.
+SPACED = re.compile(rf"(?<![^\W_])(?<![@$!|+(#]){_ONE}(?:{_GAP}{_ONE}(?!{_ONE})){{2,}}")
+#: What has more than one reading: a sign, a figure, a gap, a letter that is repeated.
+MANY = re.compile(rf"[{re.escape(''.join(LEET) + GAPS)}]|([^\W\d_])\1")
+REPEATED = re.compile(rf"(.)\1{{{RUN},}}", re.S)
+_NONE = rf"[^{re.escape(GAPS)}]"
+BETWEEN = re.compile(rf"(?<={_NONE}{{2}})[{re.escape(GAPS)}]+|[{re.escape(GAPS)}]+(?={_NONE}{{2}})")
+#: A longer run of non-blanks (runs of a character cut to ``RUN``) is several words: a gap beside a part of two or more
+#: characters ends a word there. What longer spellings give is not remembered.
+LONGEST, REMEMBERED = 48, 300_000
 
 
 def letter_classes(data: np.ndarray) -> np.ndarray:
@@ -107,8 +119,18 @@ class Restorer:
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The cheapest string through the lattice; a place lists strings and their channel costs."""
         logp = self.logp
-        beam = {(0, 0): (0.0, None, "")}  # the last two classes -> cost, path before, last string
-        for place in [*lattice, [(" ", 0.0)]]:
+        beam = {(0, 0): [0.0, None, ""]}  # the last two classes -> cost, path before, last string
+        out: list[str] = []
+
+        def commit(node: list) -> None:
+            path, at = [], node
+            while at is not None:
+                path.append(at[2])
+                at = at[1]
+            out.extend(reversed(path))
+            node[1], node[2] = None, ""
+
+        for step, place in enumerate([*lattice, [(" ", 0.0)]], 1):
             ahead: dict = {}
             for (a, b), node in beam.items():
                 for letters, cost in place:
@@ -118,14 +140,15 @@ class Restorer:
                             c -= logp[x][y][k]
                             x, y = y, k
                     if (x, y) not in ahead or c < ahead[x, y][0]:
-                        ahead[x, y] = (c, node, letters)
+                        ahead[x, y] = [c, node, letters]
             beam = ahead
-        node = min(beam.values(), key=lambda v: v[0])
-        out = []
-        while node[1] is not None:
-            out.append(node[2])
-            node = node[1]
-        return "".join(reversed(out)).strip()
+            if step % COMMIT == 0:
+                alive = list({id(node): node for node in beam.values()}.values())
+                while len(alive) > 1:  # back to where all paths are one: that part is settled
+                    alive = list({id(node[1]): node[1] for node in alive}.values())
+                commit(alive[0])
+        commit(min(beam.values(), key=lambda v: v[0]))
+        return "".join(out).strip()
 
     def lattice(self, core: str) -> list[list[tuple[str, float]]]:
         places, i = [], 0
@@ -133,44 +156,50 @@ class Restorer:
             c, n = core[i], 1
             while i + n < len(core) and core[i + n] == c:
                 n += 1
+            beside = core[max(i - 1, 0):i] + core[i + n:i + n + 1]
+            i += n
+            n = min(n, RUN)
             if c.isalpha():
                 options = [(c * n, 0.0)]
-                if n > 2:
+                if n == 2:
+                    options += [(c, DOUBLED)]
+                elif n > 2:
                     options += [(c, SHORTER), (c * 2, SHORTER)]
             elif c in LEET:
                 cost = ANY if c == "*" else SIGN
-                options = [(c * n, LITERAL)] if c.isdigit() else [(" ", LITERAL)]
-                options += [(x * k, cost) for x in LEET[c] for k in {n, min(n, 2), 1}]
+                mixed = MIXED if any(x.isalpha() for x in beside) else 0.0
+                options = [(c * n, LITERAL + mixed)] if c.isdigit() else [(" ", LITERAL)]
+                fewer = DOUBLED if n == 2 else SHORTER
+                options += [(x * k, cost + (fewer if k < n else 0.0)) for x in LEET[c] for k in range(1, n + 1)]
             elif c in GAPS:
                 options = [(" ", BREAK), ("", 0.0)]
             else:
                 options = [(" ", 0.0)]
             places.append(options)
-            i += n
         return places
 
     def token(self, token: str) -> list[str]:
         """The words that a run of non-blanks, in lower case, is restored to."""
         core = token.strip(STRIP)
-        if core.isalpha() and not TRIPLED.search(core):
-            return [core]
         if token[:1] in LEET and len(token) > 1:  # a sign in front may be a letter
             core = token.rstrip(STRIP)
-        letters = sum(c.isalpha() for c in core)
-        if letters < 2 or len(core) > LONGEST or sum(c.isdigit() for c in core) > letters:
-            return re.findall(r"[^\W\d_]+", core)
-        return re.findall(r"[^\W\d_]+", self.decode(self.lattice(core)))
+        if MANY.search(core):
+            core = REPEATED.sub(lambda m: m[1] * RUN, core)
+            if len(core) > LONGEST:
+                core = BETWEEN.sub(" ", core)
+            core = self.decode(self.lattice(core))
+        return re.findall(r"[^\W\d_]+", core)
 
     def spaced(self, run: str) -> str:
         """Single letters with gaps: at every gap the word goes on or ends."""
         places = []
-        for k, c in enumerate(run):
-            if k % 2:
-                places.append([("", 0.0), (" ", BREAK)])
-            elif c in LEET:
+        for c in re.findall(rf"{_GAP}|{_ONE}", run):
+            if c in LEET and c != "*":
                 places.append([(" ", LITERAL), *((x, SIGN) for x in LEET[c])])
-            else:
+            elif c.isalnum():
                 places.append([(c, 0.0)])
+            else:
+                places.append([("", 0.0), (" ", BREAK)])
         return self.decode(places)
 
     def text(self, text: str) -> str:

@@ -331,6 +331,30 @@ def test_restored_spellings(spark):
         assert r.text(seen) == meant
 
 
+def test_restored_spellings_without_gates(spark):
+    text = "such an idiot and a stupid loser they hate this shit and boobs and ass of a scum with a pass or a good letter in 2017 or 1984 at 555-1234 "
+    r = toxicity.Restorer(toxicity.letter_model(spark.createDataFrame([(text * 40,)], "text string")))
+    for seen, meant in [("1d10t", "idiot"), ("h473", "hate"), ("5h1t5", "shit"), ("b00b5", "boobs"), ("l053r", "loser"),
+                        ("st" + "u" * 60 + "pid", "stupid"), ("a s s", "ass"), ("s t u p ! d", "stupid"), ("$ t u p i d", "stupid"),
+                        ("s  t  u  p  i  d", "stupid"), ("stuupid", "stupid"), ("idiiot", "idiot"),
+                        ("they-hate-such-a-stupid-1d10t-and-such-a-good-loser-of-a-s-c-u-m", "they hate such a stupid idiot and such a good loser of a scum"),
+                        # literal readings stay
+                        ("2017", ""), ("555-1234", ""), ("(800)", ""), ("a good letter", "a good letter")]:
+        assert r.text(seen) == meant, seen
+    rng = random.Random(1)
+    long = "".join(rng.choice("0123456789abc-$") for _ in range(20_000))
+    assert r.decode(r.lattice(long)).split() == whole(r, long).split()
+
+
+def whole(r, spelling):
+    """The decoder without cutting its paths back."""
+    kept, toxicity.COMMIT = toxicity.COMMIT, 1 << 40
+    try:
+        return r.decode(r.lattice(spelling))
+    finally:
+        toxicity.COMMIT = kept
+
+
 def test_toxicity_held_out(spark):
     out = toxicity.query(spark, SMALL).join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id")
     assert out.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0] > 0.95

@@ -1,15 +1,15 @@
-"""Operator 1, line dedup by winnowing [native].
+"""Operator 1, line dedup by hashed line windows [native].
 
 The lines of a document (blank ones aside) are hashed. Every window of ``WINDOW`` consecutive lines
-has a least hash, its fingerprint; documents that share ``WINDOW`` lines in a row share the window and so
+has a row and a least hash, its fingerprint, which is a prefilter (no window is left out by it); documents that share ``WINDOW`` lines in a row share the window and so
 its fingerprint, which is the guarantee. A line of ``LONG`` words or more is a window and a fingerprint
 by itself.
 
 1. Windows with their fingerprints are staged as a narrow table (hashes and positions, no text).
 2. Fingerprints found at two positions or more are joined back to the windows; most windows end here.
-3. From each remaining position the match is extended to both sides as far as the window goes: the
-   hash (128 bits) of all its lines must come at an earlier position, the first one by document id and
-   line. Overlapping windows that pass make up the maximal repeated run.
+3. A remaining window is repeated if the hash (128 bits) of all its lines comes at an earlier position, the
+   first one by document id and line. No match is extended line by line: overlapping windows that pass make
+   up the maximal repeated run.
 4. The later runs are cut out of the texts.
 
 A result line is cut if and only if it lies in a run of ``WINDOW`` lines, or is a line of ``LONG`` words,

@@ -16,7 +16,7 @@ The model is pretrained: all counts are fixed before the first text is scored, a
 3. Each slice gets back the log probabilities of its own codes and the counts of its own words, and meets its texts in a
    cogroup of bounded size (``SLICE`` bytes or one longer text). There, a text's score is a sum of lookups by binary search.
 
-``base_score`` is the unigram model over lower-cased words and an end token, smoothed by a half. Words are told apart by 64-bit hashes.
+``base_score`` is the unigram model over lower-cased words and an end token, smoothed by a half. Words are told apart by 63-bit hashes.
 
 Defined results: null is read as empty (an end symbol alone); repeated rows and rows that share an id are scored each; a null id
 counts as an empty one where the rows to learn from are chosen. Without a text to learn from, the model is
@@ -39,7 +39,9 @@ ORDER = 4
 #: Symbols beside the 256 bytes; bits of a symbol in a code; symbols that can be predicted.
 END, START, BITS, ALPHABET = 256, 257, 9, 257
 #: Bytes of text in a slice; positions worked on at a time; entries in a row of a slice's counts.
-SLICE, RUN, ENTRIES = 16 << 20, 1 << 20, 1 << 16
+SLICE, RUN, ENTRIES = 32 << 20, 1 << 20, 1 << 16
+#: Set in the keys of words, so that a key tells what it is: codes are not negative.
+WORD = np.int64(-1 << 63)
 
 
 # -------------------------------------------------------------------------------------- codes
@@ -91,14 +93,14 @@ class Counts:
                 self.key, self.n = key[first], np.add.reduceat(n, first)
 
 
-SLICED = "slice long, _id {kind}, _text string, _learn boolean, what string, keys array<bigint>, counts array<bigint>"
+SLICED = "slice long, _id {kind}, _text string, _learn boolean, keys array<bigint>, counts array<bigint>"
 
 
 def _slicing(order: int, kind: pa.DataType):
     lists = pa.list_(pa.int64())
 
     def rows(n: int, name: int, **columns):
-        empty = {"_id": kind, "_text": pa.string(), "_learn": pa.bool_(), "what": pa.string(), "keys": lists, "counts": lists}
+        empty = {"_id": kind, "_text": pa.string(), "_learn": pa.bool_(), "keys": lists, "counts": lists}
         arrays = [pa.array(np.full(n, name), pa.int64())] + [columns.get(c, pa.nulls(n, t)) for c, t in empty.items()]
         return pa.RecordBatch.from_arrays(arrays, names=["slice", *empty])
 
@@ -106,10 +108,9 @@ def _slicing(order: int, kind: pa.DataType):
         name, size, grams, words = None, 0, None, None
 
         def flush():
-            for what, found in (("gram", grams), ("word", words)):
+            for found in (grams, words):
                 for k in range(0, len(found.key), ENTRIES):
-                    yield rows(1, name, what=pa.array([what]), keys=pa.array([found.key[k:k + ENTRIES]], lists),
-                               counts=pa.array([found.n[k:k + ENTRIES]], lists))
+                    yield rows(1, name, keys=pa.array([found.key[k:k + ENTRIES]], lists), counts=pa.array([found.n[k:k + ENTRIES]], lists))
 
         for batch in batches:
             for part in slices(batch) if batch.num_rows else ():
@@ -123,9 +124,8 @@ def _slicing(order: int, kind: pa.DataType):
                     grams.add(code, learn[span[0] + owner])
                 for i, j in pieces(offsets):
                     h, n = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                    words.add(h.view(np.int64), np.repeat(learn[i:j], n))
-                yield rows(part.num_rows, name, what=pa.array(["text"] * part.num_rows), _id=part.column("_id"),
-                           _text=part.column("_text"), _learn=part.column("_learn"))
+                    words.add(h.view(np.int64) | WORD, np.repeat(learn[i:j], n))
+                yield rows(part.num_rows, name, _id=part.column("_id"), _text=part.column("_text"), _learn=part.column("_learn"))
                 size += len(data)
                 if size >= SLICE:
                     yield from flush()
@@ -140,8 +140,8 @@ def _slicing(order: int, kind: pa.DataType):
 
 
 def levels(edges: DataFrame, order: int) -> list[DataFrame]:
-    """The trie from the root on: ``code, c`` of every edge, from those of the deepest level."""
-    found = [stage(edges, f"trie_{order}")]
+    """The trie from the root on: ``code, c`` of every edge, from those (staged) of the deepest level."""
+    found = [edges]
     for k in range(order, 0, -1):
         shorter = F.col("code").bitwiseAND(F.lit((1 << (BITS * k)) - 1))
         found.append(stage(found[-1].groupBy(shorter.alias("code")).agg(F.sum("c").alias("c")), f"trie_{k - 1}"))
@@ -190,16 +190,11 @@ def _scoring(order: int, total: int, distinct: int, ends: int):
         return np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
 
     def score(texts: pa.Table, known: pa.Table) -> pa.Table:
-        what = known.column("what").to_numpy(zero_copy_only=False)
         key, value = known.column("key").to_numpy(), known.column("value").to_numpy()
-
-        def sorted_by_key(name):
-            k, v = key[what == name], value[what == name]
-            at = np.argsort(k)
-            return k[at], v[at]
-
-        gram, logp = sorted_by_key("gram")
-        word, count = sorted_by_key("word")
+        at = np.argsort(key)
+        key, value = key[at], value[at]
+        words = int(np.searchsorted(key, 0))
+        word, count, gram, logp = key[:words], value[:words], key[words:], value[words:]
         data, offsets = text_bytes(texts.column("_text"))
         n = len(offsets) - 1
         model, plain, tokens, seen = np.zeros(n), np.zeros(n), np.ones(n, np.int64), np.full(n, int(ends > 0))
@@ -209,7 +204,7 @@ def _scoring(order: int, total: int, distinct: int, ends: int):
             model[i:j] += np.bincount(owner, logp[np.searchsorted(gram, code)], j - i)
         for i, j in pieces(offsets):
             h, m = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            c = count[np.searchsorted(word, h.view(np.int64))] if len(h) else np.zeros(0)
+            c = count[np.searchsorted(word, h.view(np.int64) | WORD)] if len(h) else np.zeros(0)
             owner = np.repeat(np.arange(j - i), m)
             plain[i:j] = np.bincount(owner, base(c), j - i)
             seen[i:j] += np.bincount(owner[c > 0], minlength=j - i)
@@ -230,19 +225,19 @@ def score(documents: DataFrame, learn: Column, *, id_col="doc_id", text_col="tex
     from pyspark.sql.pandas.types import to_arrow_type
 
     sliced = stage(narrow.mapInArrow(_slicing(order, to_arrow_type(kind)), SLICED.format(kind=kind.simpleString())), "slices")
-    texts = sliced.where("what = 'text'").select("slice", "_id", "_text", "_learn")
-    entries = (sliced.where("what <> 'text'").select("slice", "what", F.explode(F.arrays_zip("keys", "counts")).alias("e"))
-               .select("slice", "what", F.col("e.keys").alias("key"), F.col("e.counts").alias("n")))
-    grams, words = entries.where("what = 'gram'"), entries.where("what = 'word'")
-    trie = levels(grams.groupBy(F.col("key").alias("code")).agg(F.sum("n").alias("c")), order)
+    texts = sliced.where("keys is null").select("slice", "_id", "_text", "_learn")
+    entries = (sliced.where("keys is not null").select("slice", F.explode(F.arrays_zip("keys", "counts")).alias("e"))
+               .select("slice", F.col("e.keys").alias("key"), F.col("e.counts").alias("n")))
+    summed = stage(entries.groupBy("key").agg(F.sum("n").alias("c")), "summed")
+    trie = levels(summed.where("key >= 0").select(F.col("key").alias("code"), "c"), order)
     edges = log_probabilities(trie).select(F.col("code").alias("key"), F.col("logp").alias("value"))
-    vocabulary = stage(words.groupBy("key").agg(F.sum("n").alias("c")), "vocabulary")
+    vocabulary = summed.where("key < 0")
     ends = texts.where("_learn").count()
     total, distinct = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     total, distinct = (total or 0) + ends, distinct + (ends > 0)
-    known = (grams.select("slice", "what", "key").join(edges, "key")
-             .unionByName(words.select("slice", "what", "key").join(vocabulary.select("key", F.col("c").cast("double").alias("value")), "key")))
-    known = known.select(F.col("slice").alias("of"), "what", "key", "value")
+    known = (entries.select("slice", "key")
+             .join(edges.unionByName(vocabulary.select("key", F.col("c").cast("double").alias("value"))), "key"))
+    known = known.select(F.col("slice").alias("of"), "key", "value")
     out = texts.groupBy("slice").cogroup(known.groupBy("of")).applyInArrow(
         _scoring(order, total, distinct, ends),
         f"_id {kind.simpleString()}, learned boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")

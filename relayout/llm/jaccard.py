@@ -37,6 +37,7 @@ told apart by their sets; repeated rows have equal results. Extra columns are no
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -206,42 +207,26 @@ def signatures(value: np.ndarray, band: int, plan: tuple[int, int, int, int]) ->
     return np.unique(np.concatenate(out)), max(-1, spare - weak)
 
 
-def _indexing(words: int, similar: tuple[int, int]):
+def _indexing(similar: tuple[int, int]):
+    """The signatures of sets in all their bands."""
+
     def make():
         bands = once(("bands", similar), lambda: Bands(similar))
-        seen: set[int] = set()  # sets indexed by this task: copies add nothing
 
         def work(batch):
-            data, offsets = text_bytes(batch.column("_text"))
-            usable = np.array(batch.column("_id").is_valid().to_pylist(), bool)
-            node, size, sigs, rows = [], [], [], []
-            for i, j in pieces(offsets):
-                value, bounds = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
-                names = set_hashes(value, bounds)
-                node.append(names)
-                size.append(np.diff(bounds))
-                for k in range(j - i):
-                    n = int(bounds[k + 1] - bounds[k])
-                    mine = []
-                    if n and usable[i + k] and int(names[k]) not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(int(names[k]))
-                        for band, guest in bands.of(n):
-                            sig, slack = signatures(value[bounds[k]:bounds[k + 1]], band, bands.plan[band])
-                            mine.append((band, guest, slack, sig))
-                    rows.append(mine)
+            rows = []
+            for elements in batch.column("elements"):
+                value = elements.values.to_numpy(zero_copy_only=False).view(_U)
+                rows.append([(band, guest, *signatures(value, band, bands.plan[band])) for band, guest in bands.of(len(value))])
             flat = [m for r in rows for m in r]
             kind = pa.list_(pa.struct([("band", pa.int32()), ("guest", pa.bool_()), ("slack", pa.int32()), ("sigs", pa.list_(pa.int64()))]))
-            sigs = np.concatenate([m[3] for m in flat]).view(np.int64) if flat else np.zeros(0, np.int64)
-            inner = pa.ListArray.from_arrays(np.append(0, np.cumsum([len(m[3]) for m in flat])).astype(np.int32), pa.array(sigs))
+            sigs = np.concatenate([m[2] for m in flat]).view(np.int64) if flat else np.zeros(0, np.int64)
+            inner = pa.ListArray.from_arrays(np.append(0, np.cumsum([len(m[2]) for m in flat])).astype(np.int32), pa.array(sigs))
             struct = pa.StructArray.from_arrays(
                 [pa.array([m[0] for m in flat], pa.int32()), pa.array([m[1] for m in flat], pa.bool_()),
-                 pa.array([m[2] for m in flat], pa.int32()), inner], fields=list(kind.value_type))
+                 pa.array([m[3] for m in flat], pa.int32()), inner], fields=list(kind.value_type))
             index = pa.ListArray.from_arrays(np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32), struct)
-            return pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(np.concatenate(node).view(np.int64)), pa.array(np.concatenate(size)), index],
-                names=["_id", "node", "n_shingles", "index"])
+            return pa.RecordBatch.from_arrays([batch.column("node"), index], names=["node", "index"])
 
         return work
 
@@ -312,35 +297,69 @@ def _by_set(shared: DataFrame) -> DataFrame:
     return marked.join(of_set, ["node", "band"])
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """``sig, node, guest, at``: the sets of every signature. Sets that share most come first: the middle
-    of a cluster links most of it at once."""
-    again = rows.select("sig", "node", "guest", "weight").withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("sig")))
-    number = F.row_number().over(Window.partitionBy("sig").orderBy("guest", F.desc("weight"), "node")) - 1
-    return again.where("held > 1").select("sig", "node", "guest", number.alias("at"))
+def _pivots(rows: DataFrame) -> DataFrame:
+    """``x, y``: of every signature its pivot and each other set that holds it, once. The pivot is the set (no guest) that
+    shares most: the middle of a family links most of it at once. It is found by partial maxima in every task."""
+    pivot = (rows.groupBy("sig").agg(F.max(F.struct(~F.col("guest"), "weight", F.col("node").alias("x"))).alias("top"), F.count(F.lit(1)).alias("held"))
+             .where("held > 1").select("sig", "top.x", "held"))
+    return (lookup(rows.select("sig", "node"), pivot, ["sig"], "held", "inner").where("x <> node")
+            .select("x", F.col("node").alias("y")).distinct())
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """The pairs ``x, y`` whose sets are similar, as links. A set that meets many others is spread over
-    copies of itself, 256 partners for each."""
-    p, q = similar
+def _salted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``x, y`` with the elements of both (``a, b``). A set that meets many others is spread over copies of itself,
+    256 partners for each."""
     counts = stage(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "partners")
     copies = F.ceil(F.col("n") / 256).cast("int")
     salted = pairs.join(counts, "x").select("x", "y", F.pmod(F.xxhash64("y"), copies).cast("int").alias("salt"))
     left = (sets.join(counts, sets["node"] == counts["x"])
             .select("x", F.col("elements").alias("a"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt")))
     right = sets.select(F.col("node").alias("y"), F.col("elements").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return (salted.join(right, "y").join(left, ["x", "salt"])
-            .where(q * both >= p * (F.size("a") + F.size("b") - both)).select(F.col("x").alias("u"), F.col("y").alias("v")))
+    return salted.join(right, "y").join(left, ["x", "salt"]).select("x", "y", "a", "b")
+
+
+def _measured(pairs: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """``x, y, f, over, size`` of pairs: in how many elements they differ, (p + q) times how far that is above what similar
+    sets may differ in (so they are linked if it is not above 0), and how much larger y is."""
+    p, q = similar
+    a, b = F.size("a"), F.size("b")
+    f = a + b - 2 * F.size(F.array_intersect("a", "b"))
+    return (_salted(pairs, sets).select("x", "y", f.cast("long").alias("f"), (a + b).cast("long").alias("both"), (b - a).cast("long").alias("larger"))
+            .select("x", "y", "f", ((p + q) * F.col("f") - (q - p) * F.col("both")).alias("over"), "larger"))
+
+
+def _open_pairs(met: DataFrame, sets: DataFrame, named: Callable[[DataFrame, str], DataFrame], similar: tuple[int, int]) -> DataFrame:
+    """``x, y``: the pairs within families that can be similar and whose ends are in two components.
+
+    A family is a pivot P and the sets that met it. Of a member A only its differences from P count, D(A), f of them:
+    A and B differ in |D(A)| + |D(B)| - 2 |D(A) & D(B)| elements. What D(B) has alone in the family, ``single`` of them, cannot be in
+    D(A), so they differ in f(A) + 2 single(B) - f(B) or more. If that is to be within the limit, ``over``(A) must not be above
+    ``room``(B), both told from P alone; and the other way round. Members linked to P are in its component,
+    so one of the two, A, has ``over`` above 0, and B needs that much room: members that were edited by chance have none.
+    Pairs are found by an equi-join on powers of two of either, not by trying all."""
+    p, q = similar
+    kept = named(met, "y").withColumnRenamed("cy", "comp")
+    kept = stage(named(kept, "x").withColumn("inside", F.col("cx") == F.col("comp")).drop("cx"), "families")
+    some = stage(kept.where("over > 0 and not inside").select("x").distinct(), "open_families")
+    family = stage(kept.join(some, "x", "left_semi"), "open_members")
+    differences = (_salted(family.select("x", "y"), sets)
+                   .select("x", "y", F.explode(F.concat(F.array_except("a", "b"), F.array_except("b", "a"))).alias("e")))
+    single = (differences.groupBy("x", "e").agg(F.min("y").alias("y"), F.count(F.lit(1)).alias("n")).where("n = 1")
+              .groupBy("x", "y").agg(F.count(F.lit(1)).alias("single")))
+    room = (q - p) * F.col("larger") - (p + q) * (2 * F.coalesce("single", F.lit(0)) - F.col("f"))
+    rated = stage(family.join(single, ["x", "y"], "left").select("x", "y", "comp", "over", room.cast("long").alias("room")), "rated")
+    power = lambda c: F.floor(F.log2(c.cast("double"))).cast("int")
+    asking = rated.where("over > 0").select("x", F.col("y").alias("a"), F.col("comp").alias("ca"), F.col("over").alias("oa"),
+                                            F.col("room").alias("ra"), power(F.col("over")).alias("level"))
+    roomy = rated.where("room > 0").select("x", F.col("y").alias("b"), F.col("comp").alias("cb"), F.col("over").alias("ob"),
+                                           F.col("room").alias("rb"), F.explode(F.sequence(F.lit(0), power(F.col("room")))).alias("level"))
+    return (asking.join(roomy, ["x", "level"]).where("oa <= rb and ob <= ra and ca <> cb")
+            .select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct())
 
 
 def links_to_components(members: DataFrame, sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
     """``node, comp`` of the vertices that are linked (but the least of each component)."""
-    spark = members.sparkSession
-    named = spark.createDataFrame([], "node long, comp long")
-    tested: list[DataFrame] = []
-    now, first, width = members.withColumn("comp", F.col("node")), 0, 1
+    named = members.sparkSession.createDataFrame([], "node long, comp long")
 
     def renamed(df: DataFrame, col: str) -> DataFrame:
         """The component of a column's vertices, as ``c`` and the column's name."""
@@ -349,37 +368,16 @@ def links_to_components(members: DataFrame, sets: DataFrame, similar: tuple[int,
 
     def joined(found: DataFrame) -> DataFrame:
         """Components with more links."""
-        found = stage(found, "found")
+        found = stage(found.select(F.col("x").alias("u"), F.col("y").alias("v")), "found")
         if found.isEmpty():
             return named
         return stage(components(named.select(F.col("node").alias("u"), F.col("comp").alias("v")).unionByName(found)), "named")
 
-    while True:
-        # groups of several components that hold sets which have not met
-        now = stage(now, "groups")
-        live = stage(now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("at").alias("last"))
-                     .where((F.col("lo") != F.col("hi")) & (F.col("last") > first)).select("sig"), "open_groups")
-        if live.isEmpty():
-            return named
-        mine = stage(now.join(live, "sig", "left_semi"), "open_members")
-        pivots = mine.where((F.col("at") >= first) & (F.col("at") < first + width) & ~F.col("guest")).select(
-            "sig", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("at").alias("ax"))
-        others = mine.select("sig", F.col("node").alias("y"), F.col("comp").alias("cy"), F.col("at").alias("ay"))
-        pairs = (pivots.join(others, "sig").where((F.col("ay") > F.col("ax")) & (F.col("cx") != F.col("cy")))
-                 .groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("shared")))
-        for done in tested:
-            pairs = pairs.join(done, ["x", "y"], "left_anti")
-        # of the candidates of a set, the one it shares most signatures with comes first; the others
-        # are tested only if they would still join two components
-        best = Window.partitionBy("y").orderBy(F.desc("shared"), "x")
-        marked = stage(pairs.withColumn("likely", F.row_number().over(best) == 1), "candidates")
-        named = joined(_verified(marked.where("likely").select("x", "y"), sets, similar))
-        rest = stage(renamed(renamed(marked.where("not likely").select("x", "y"), "x"), "y").where("cx != cy").select("x", "y"), "unlikely")
-        if not rest.isEmpty():
-            named = joined(_verified(rest, sets, similar))
-        tested.append(marked.select("x", "y"))
-        now = renamed(mine.drop("comp"), "node").withColumnRenamed("cnode", "comp").select("sig", "node", "guest", "at", "comp")
-        first, width = first + width, 7 if width == 1 else width * 8
+    # every set meets the pivots of its signatures; then the pairs that are left
+    met = stage(_measured(_pivots(members), sets, similar), "met")
+    named = joined(met.where("over <= 0"))
+    rest = stage(_open_pairs(met, sets, renamed, similar), "open_pairs")
+    return joined(_measured(rest, sets, similar).where("over <= 0"))
 
 
 def _refining(similar: tuple[int, int]):
@@ -424,26 +422,26 @@ def similar_components(documents: DataFrame, *, id_col="doc_id", text_col="text"
     """``id, n_shingles, component_id, text_hash`` of every row: the size of its set, the least id reachable
     by links, and xxhash64 of its text (which tells rows with equal ids apart)."""
     narrow = documents.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    indexed = map_batches(narrow, _indexing(words, similar),
-                          "_id long, node long, n_shingles long, "
-                          "index array<struct<band:int,guest:boolean,slack:int,sigs:array<bigint>>>")
-    rows = (indexed.select("node", F.explode("index").alias("b"))
-            .select("node", "b.band", "b.guest", "b.slack", F.explode("b.sigs").alias("sig")))
-    shared = stage(_shared(rows), "signatures")
-    plain = stage(map_batches(narrow.withColumn("_hash", F.xxhash64("_text")), _naming(words),
-                              "_id long, _hash long, node long, n_shingles long"), "set_names")
+    every = max(1, round(0.6 * similar[1] / (similar[1] - similar[0]))) if similar[0] < similar[1] else 1
+    plain = stage(map_batches(narrow.withColumn("_hash", F.xxhash64("_text")), _naming(words, every),
+                              "_id long, _hash long, node long, n_shingles long, sample array<bigint>"), "set_names")
     some = plain.where("n_shingles > 0 and _id is not null")
-    vertices = stage(some.groupBy("node").agg(F.min("_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vertices")
-    needed = shared.select("node").distinct().join(vertices, "node").select("id")
-    bits = bit_filter(needed)
-    sets = stage(map_batches(narrow.where(F.col("_id").isNotNull()).withColumn("_bit", _bit(F.col("_id"))),
-                             _gathering(words, bits), "node long, elements array<bigint>").dropDuplicates(["node"]), "sets")
-    members = stage(_numbered(_plain_and_fine(shared, sets, similar)), "members")
+    vertices = stage(some.groupBy("node").agg(F.min("_id").alias("id"), F.count(F.lit(1)).alias("copies"),
+                                              F.max("n_shingles").alias("n_shingles")), "vertices")
+    apart = lonely(plain.select("node", F.explode("sample").alias("e")), vertices.select("node", "n_shingles"), similar)
+    needed = stage(vertices.join(apart, "node", "left_anti").select("node", "id"), "needed")
+    gathered = map_batches(narrow.where(F.col("_id").isNotNull()).withColumn("_bit", _bit(F.col("_id"))),
+                           _gathering(words, bit_filter(needed)), "node long, elements array<bigint>")
+    sets = _sociable(stage(gathered.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets"), similar)
+    rows = (map_batches(sets, _indexing(similar), "node long, index array<struct<band:int,guest:boolean,slack:int,sigs:array<bigint>>>")
+            .select("node", F.explode("index").alias("b")).select("node", "b.band", "b.guest", "b.slack", F.explode("b.sigs").alias("sig")))
+    shared = stage(_shared(rows), "signatures")
+    members = stage(_plain_and_fine(shared, sets, similar), "members")
     named = links_to_components(members, sets, similar)
     joined = vertices.join(named, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = joined.groupBy("comp").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("n"))
     classes = lookup(joined, least, ["comp"], "n").select("node", "copies", "component_id")
-    keyed = plain.withColumn("_key", F.when(F.col("n_shingles") > 0, F.col("node")))
+    keyed = plain.drop("sample").withColumn("_key", F.when(F.col("n_shingles") > 0, F.col("node")))
     out = lookup(keyed, classes.select(F.col("node").alias("_key"), "copies", "component_id"), ["_key"], "copies")
     component = F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "_id"))
     return out.select(F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("_hash").alias("text_hash"))
@@ -466,24 +464,59 @@ def keep_one(documents: DataFrame, *, id_col="doc_id", text_col="text", words=WO
     return kept.withColumn("_n", number).where((F.col("_n") == 1) | ~F.col("_first")).select("row.*")
 
 
-def _naming(words: int):
+def _naming(words: int, every: int):
+    """Names and sizes of all sets, and one in ``every`` of a set's shingles where the task meets it first."""
+
     def make():
+        seen: set[int] = set()
+
         def work(batch):
             data, offsets = text_bytes(batch.column("_text"))
-            node, size = [], []
+            node, size, samples = [], [], []
             for i, j in pieces(offsets):
                 value, bounds = shingle_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
-                node.append(set_hashes(value, bounds))
+                names = set_hashes(value, bounds)
+                node.append(names)
                 size.append(np.diff(bounds))
+                for k, name in enumerate(names.tolist()):
+                    part = value[:0]
+                    if name not in seen:
+                        if len(seen) >= SEEN:
+                            seen.clear()
+                        seen.add(name)
+                        part = value[bounds[k]:bounds[k + 1]]
+                        part = part[part % _U(every) == 0]
+                    samples.append(part.view(np.int64))
+            ends = np.append(0, np.cumsum([len(x) for x in samples])).astype(np.int32)
             return pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_hash"), pa.array(np.concatenate(node).view(np.int64)),
-                 pa.array(np.concatenate(size))], names=["_id", "_hash", "node", "n_shingles"])
+                [batch.column("_id"), batch.column("_hash"), pa.array(np.concatenate(node).view(np.int64)), pa.array(np.concatenate(size)),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(samples)))], names=["_id", "_hash", "node", "n_shingles", "sample"])
 
         return work
 
     return make
 
 
+def lonely(elements: DataFrame, sizes: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The sets (``node``) that have no partner, as too many of their elements (rows ``node, e``) are in no other set:
+    a partner would lack them all, and similar sets lack at most 1 - J of each other's elements."""
+    p, q = similar
+    single = (elements.groupBy("e").agg(F.min("node").alias("node"), F.max("node").alias("other")).where("node = other")
+              .groupBy("node").agg(F.count(F.lit(1)).alias("single")))
+    return single.join(sizes, "node").where(q * F.col("single") > (q - p) * F.col("n_shingles")).select("node")
+
+
+def _sociable(sets: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The sets left when lonely ones go, again and again while a fiftieth of them does."""
+    while True:
+        n = sets.count()
+        gone = stage(lonely(sets.select("node", F.explode("elements").alias("e")),
+                            sets.select("node", F.size("elements").alias("n_shingles")), similar), "lonely")
+        sets = stage(sets.join(gone, "node", "left_anti"), "sociable")
+        if n - sets.count() <= n // 50:
+            return sets
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op3: every document's component under 4-word shingles and 0.85 similarity."""
     return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("text_hash")

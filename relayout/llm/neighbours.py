@@ -9,7 +9,8 @@ random direction; a shell keeps, per function, its vectors' numbers sorted by pr
 a window around its own projection in every sorted array and widens all windows together (virtual
 rehashing); whenever a vector falls into a window, its collisions go up by one. Vectors with at least
 ``THRESHOLD`` of the windows are candidates; widening ends once a shell has its share of candidates
-(``VERIFIED``, and ``LEAST`` times the wanted number at least). Candidates are verified with the original
+(``VERIFIED``, and ``LEAST`` times the wanted number at least). In high dimensions a projection tells little of
+a distance: windows are wide and the threshold high, so what is counted are the vectors that a window leaves out. Candidates are verified with the original
 vectors in double precision. The longest shells come first; a block is done when its ``k`` best are above the
 product of the lengths of the query and of the next shell's longest vector, which nothing left can reach.
 
@@ -34,10 +35,12 @@ from pyspark.sql.window import Window
 from .common import stage
 
 K, EVERY = 20, 20
-PROJECTIONS, THRESHOLD, VERIFIED = 64, 0.62, 0.3
-#: The first windows hold this part of a block; each widening adds this factor to their width.
-FIRST, WIDER = 0.5, 1.12
-SHORTEST, LEAST = 0.8, 10
+PROJECTIONS, THRESHOLD, VERIFIED = 64, 0.84, 0.06
+#: Half the first windows' width, in units of a function's quartile distance; each widening multiplies it.
+FIRST, WIDER = 0.8, 1.06
+SHORTEST, LEAST = 0.8, 20
+#: Distance of the projections' ranges, more than two windows' widths.
+APART = 16.0
 BLOCK, QUERIES = 16_384, 4_096
 SEED = 5
 
@@ -65,39 +68,51 @@ class Shell:
             groups.append(np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0][:, :d])
         self.directions = np.concatenate(groups, 1)[:, :PROJECTIONS]
         projected = (np.concatenate([self.vectors / self.longest, more[:, None]], 1) @ self.directions).T
-        self.order = np.argsort(projected, 1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order, 1)
-        spread = self.sorted[:, (3 * n) // 4] - self.sorted[:, n // 4]
+        order = np.argsort(projected, 1, kind="stable")
+        values = np.take_along_axis(projected, order, 1)
+        spread = values[:, (3 * n) // 4] - values[:, n // 4]
         self.unit = np.where(spread > 0, spread, 1.0)  # widths are told per function in units of its spread
+        # all sorted arrays in one, each in a range of its own (projections are 1 at most): one search finds all windows
+        self.base = APART * np.arange(PROJECTIONS)
+        self.sorted, self.order = (values + self.base[:, None]).ravel(), order.ravel()
+        self.first = n * np.arange(PROJECTIONS)
+        # the first width: nearly what the shell's own vectors need
+        asked = projected[:, :: max(1, n // 16)].T
+        wide = np.sort([self.widen(at, FIRST, self.wanted(n, K))[1] for at in asked])
+        self.start = wide[len(wide) // 4]
+
+    @staticmethod
+    def wanted(n: int, k: int) -> int:
+        return min(n, max(LEAST * k, int(VERIFIED * n)))
+
+    def widen(self, at: np.ndarray, width: float, wanted: int) -> tuple[np.ndarray, float]:
+        """Candidates around the projections ``at``, from windows that widen until there are enough; the last width."""
+        n, allowed = len(self.ids), int((1 - THRESHOLD) * PROJECTIONS)
+        misses = left = right = None
+        while True:
+            lo = self.sorted.searchsorted(at + self.base - np.minimum(width * self.unit, APART / 4), "left")
+            hi = self.sorted.searchsorted(at + self.base + np.minimum(width * self.unit, APART / 4), "right")
+            if misses is None:
+                # wide windows leave few vectors out: these are counted, once per window they miss
+                spans = [*zip(self.first, lo, strict=True), *zip(hi, self.first + n, strict=True)]
+                misses = np.bincount(np.concatenate([self.order[i:j] for i, j in spans]), minlength=n)
+            else:
+                spans = [*zip(lo, left, strict=True), *zip(right, hi, strict=True)]
+                misses -= np.bincount(np.concatenate([self.order[i:j] for i, j in spans]), minlength=n)
+            found = np.flatnonzero(misses <= allowed)
+            if len(found) >= wanted:
+                return found, width
+            left, right, width = lo, hi, width * WIDER
 
     def candidates(self, query: np.ndarray, k: int) -> np.ndarray:
         """``query``: of length 1, as the longest vector is here."""
         n = len(self.ids)
-        wanted = min(n, max(LEAST * k, int(VERIFIED * n)))
+        wanted = self.wanted(n, k)
         if wanted >= n or not np.isfinite(self.longest):
             return np.arange(n)
         if self.order is None:
             self.index()
-        at = np.append(query, 0.0) @ self.directions
-        count = np.zeros(n, np.int64)
-        least = max(1, int(THRESHOLD * PROJECTIONS))
-        left = right = None
-        width = FIRST * self.unit
-        while True:
-            parts = []
-            lo = [int(np.searchsorted(s, x, "left")) for s, x in zip(self.sorted, at - width, strict=True)]
-            hi = [int(np.searchsorted(s, x, "right")) for s, x in zip(self.sorted, at + width, strict=True)]
-            for j, order in enumerate(self.order):
-                if left is None:
-                    parts.append(order[lo[j]:hi[j]])
-                else:
-                    parts += [order[lo[j]:left[j]], order[right[j]:hi[j]]]
-            count += np.bincount(np.concatenate(parts), minlength=n)
-            left, right = lo, hi
-            found = np.flatnonzero(count >= least)
-            if len(found) >= wanted:
-                return found
-            width = width * WIDER
+        return self.widen(np.append(query, 0.0) @ self.directions, self.start, wanted)[0]
 
 
 class Block:

@@ -51,24 +51,24 @@ def _repeated_words(words: list[bytes]) -> int:
     return int(inside.sum())
 
 
-def measures(text: str | None) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines (those with a word)."""
     if not text:
-        return 0, 0, 0, 0, 0
+        return 0, 0, 0, 0, 0, 0
     data = text.encode("utf-8", "surrogatepass")
     words = data.split()  # bytes split at ASCII white space only
     chars = len(text) - sum(text.count(c) for c in " \t\n\v\f\r")
     symbols = sum(data.count(c) for c in SYMBOLS.encode())
-    lines = [x for x in data.split(b"\n") if x.split(None, 1)] if b"\n" in data else []
-    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeated_words(words)
+    lines = [x for x in data.split(b"\n") if x.split(None, 1)] if b"\n" in data else [data] if words else []
+    return len(words), chars, symbols, len(lines) - len(set(lines)), _repeated_words(words), len(lines)
 
 
 def _measuring():
     def work(batch):
         out = np.array([measures(t) for t in batch.column("_text").to_pylist()], np.int64)
         return pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("_host"), *(pa.array(np.ascontiguousarray(out[:, k])) for k in range(5))],
-            names=["_id", "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+            [batch.column("_id"), batch.column("_host"), *(pa.array(np.ascontiguousarray(out[:, k])) for k in range(6))],
+            names=["_id", "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"])
 
     return work
 
@@ -78,11 +78,11 @@ def measure(documents: DataFrame, *, id_col="doc_id", text_col="text", host_col=
                               F.col(host_col).cast("string").alias("_host"))
     kind = narrow.schema["_id"].dataType.simpleString()
     out = map_batches(narrow, _measuring, f"_id {kind}, _host string, n_words long, word_chars long, "
-                                          "n_symbols long, n_dup_lines long, n_repeat_words long")
+                                          "n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long")
     n = F.col("n_words")
     mean = F.col("word_chars") / F.greatest(n, F.lit(1))
     failed = [n < MIN_WORDS, 100 * F.col("n_repeat_words") > MAX_REPEAT * n,
-              100 * F.col("n_symbols") > MAX_SYMBOLS * F.col("word_chars"), 100 * F.col("n_dup_lines") > MAX_DUP_LINES * n,
+              100 * F.col("n_symbols") > MAX_SYMBOLS * F.col("word_chars"), 100 * F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"),
               (mean < WORD_LENGTH[0]) | (mean > WORD_LENGTH[1])]
     return (out.withColumn("base_failed", failed[0] | failed[1])
             .withColumn("failed_rules", F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in zip(RULES, failed, strict=True)]))))

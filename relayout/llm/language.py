@@ -38,8 +38,12 @@ _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def letters_only(text: str) -> str:
-    """Lower case, every run of other characters than letters as one blank."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip()
+    """Lower case, every run of other characters than letters (the letter categories) as one blank."""
+    text = _NO_LETTERS.sub(" ", text.lower()).strip()
+    if not text or text.replace(" ", "").isalpha():
+        return text
+    # signs like fractions and Roman numerals count as numeric, not as digits
+    return " ".join("".join(c if c.isalpha() else " " for c in text).split())
 
 
 def learn(documents: DataFrame, training=None, *, id_col="doc_id", text_col="text", lang_col="lang",
@@ -47,7 +51,8 @@ def learn(documents: DataFrame, training=None, *, id_col="doc_id", text_col="tex
     """The dictionaries, the language with most texts first, from a bounded sample of the labelled rows for which ``training`` holds: of
     each language at most ``texts`` different texts, the first by a hash of the id, at most ``chars``
     characters of each. Ids and hashes alone are shuffled; the sampled texts come in by a join with
-    the sampled ids, of which there are ``texts`` per language at most."""
+    the sampled ids, of which there are ``texts`` per language at most. They fill the dictionary in the order of the
+    hash, until its ``size`` is reached: of texts of ``chars`` characters that is the first 65 or so."""
     labelled = documents.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if training is not None:
         labelled = labelled.where(training)
@@ -60,12 +65,12 @@ def learn(documents: DataFrame, training=None, *, id_col="doc_id", text_col="tex
     chosen = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts).select("lang", "id", "h")
     sample = (labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("t"))
               .withColumn("h", F.xxhash64("t")).join(F.broadcast(chosen), ["lang", "id", "h"], "left_semi")
-              .select("lang", "id", F.substring("t", 1, chars).alias("t")).distinct())
+              .select("lang", F.xxhash64("id").alias("place"), "id", F.substring("t", 1, chars).alias("t")).distinct())
     parts: dict[str, list] = {}
     for r in sample.collect():  # at most texts * languages rows of at most chars characters
-        parts.setdefault(r["lang"], []).append((r["id"], letters_only(r["t"])))
+        parts.setdefault(r["lang"], []).append((r["place"], r["id"], letters_only(r["t"])))
     order = sorted(parts, key=lambda lang: (-counts[lang], lang))
-    return {lang: " ".join(t for _, t in sorted(parts[lang])).encode()[:size] for lang in order}
+    return {lang: " ".join(t for *_, t in sorted(parts[lang])).encode()[:size] for lang in order}
 
 
 def _classifier(dictionaries: dict[str, bytes], id_name: str, text_name: str, margin: float):

@@ -11,7 +11,8 @@
 
 Base kinds ``assign``, ``access`` and ``hex`` carry no checksum and always stay. Null is read as
 empty; rows are independent, so repeated rows and rows with a null id get their own result. Spans
-count code points, end exclusive. Work per text is linear in its length apart from the matches.
+count code points, end exclusive. Work per text is linear in its length: of hits that fail in one run of a signed token
+the first one is tried, and a header too deeply nested for the JSON reader is no header.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ ACCESS, ACCESS_LENGTH = r"AKIA[A-Z0-9]+", 16
 HEX, HEX_LENGTH = r"[0-9a-f]+", 32
 FORGE = r"(?:gh[pousr]|npm)_[A-Za-z0-9]{36}(?![A-Za-z0-9])"
 FORGE_WORDS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_")
-SIGNED = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"
+SIGNED = r"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"
+SIGNED_RUN = r"[A-Za-z0-9_-]+"
 PEM = r"-----BEGIN (?:RSA |EC )?PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END (?:RSA |EC )?PRIVATE KEY-----"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 KINDS = ("assign", "access", "hex", "forge", "signed", "pem")
@@ -61,7 +63,7 @@ def signed_ok(m: re.Match) -> bool:
     head = m[0].split(".")[0]
     try:
         found = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except ValueError:
+    except (ValueError, RecursionError):  # no JSON, or nested deeper than any header is
         return False
     return isinstance(found, dict) and "alg" in found
 
@@ -99,7 +101,7 @@ def scanner():
     valid = {0: lambda m: m.end(2) - m.start(2) >= ASSIGN_VALUE, 1: lambda m: m.end() - m.start() >= ACCESS_LENGTH,
              3: forge_ok, 4: signed_ok, 5: pem_ok}
     anchored[0] = assign
-    hexes, probe = re.compile(HEX), re.compile(r"[0-9a-f]")
+    hexes, probe, run = re.compile(HEX), re.compile(r"[0-9a-f]"), re.compile(SIGNED_RUN)
 
     def scan(text: str) -> list[tuple[int, int, int]]:
         spans, done = [], [0] * len(KINDS)
@@ -108,6 +110,8 @@ def scanner():
             if at < done[kind]:
                 continue
             if (m := anchored[kind].match(text, at)) is None:
+                if kind == 4:  # another hit in this run ends where it does, and fails like this one
+                    done[kind] = run.match(text, at).end()
                 continue
             done[kind] = m.end()
             if valid[kind](m):

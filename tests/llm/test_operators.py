@@ -6,11 +6,14 @@ import json
 import math
 import random
 import re
+import time
+import unicodedata
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from relayout.llm import bpe, hosts, jaccard, language, lines, mixing, neighbours, resample, secrets, toxicity
@@ -239,6 +242,42 @@ def test_language_held_out_accuracy(spark):
     assert out.where("rejected").count() < 0.03 * out.count() and out.where("score < 0 or score > 1").count() == 0
 
 
+def test_language_brute_force(spark):
+    """Every text encoded by itself, with fresh coders, letters told by their category."""
+    docs = documents(spark)
+    model = language.learn(docs)
+    odd = [(9001, "½ ²"), (9002, "ⅷ"), (9003, "½ ² der ⅷ die und 12"), (9004, "٣ ౩"), (9005, "a" * 4000)]
+    df = docs.select("doc_id", "text").limit(120).unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+
+    def size(text, dictionary):
+        d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        coder = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=d, write_content_size=False, write_dict_id=False)
+        return sum(len(coder.compress(text[k:k + language.BLOCK].encode())) for k in range(0, len(text), language.BLOCK))
+
+    texts = {r.doc_id: r.text for r in df.collect()}
+    got = {r.doc_id: r for r in language.classify(df, model).collect()}
+    for i, text in texts.items():
+        letters = " ".join("".join(c if unicodedata.category(c)[0] == "L" else " " for c in (text or "").lower()).split())
+        if not letters:
+            assert (got[i].lang_pred, got[i].score, got[i].rejected) == ("und", 0.0, True)
+            continue
+        sizes = {lang: size(letters, d) for lang, d in model.items()}
+        best = min(sizes.values())
+        assert got[i].lang_pred == next(lang for lang in model if sizes[lang] == best)
+        assert math.isclose(got[i].score, 1 / sum(2.0 ** (best - x) for x in sizes.values()))
+        assert got[i].rejected == (sorted(sizes.values())[1] - best <= language.MARGIN * best)
+    assert got[9001].lang_pred == got[9002].lang_pred == got[9004].lang_pred == "und" != got[9003].lang_pred
+
+
+def test_language_sample_follows_the_hash(spark):
+    """The dictionaries are filled in the order of the hashed id, not with the smallest ids."""
+    rows = [(i, f"text {'abcdefghij'[i % 10]} number " + "x" * i, "en") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    order = [r.doc_id for r in df.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    want = " ".join(language.letters_only(rows[i][1]) for i in order).encode()
+    assert language.learn(df)["en"] == want and language.learn(df, size=100)["en"] == want[:100]
+
+
 def test_language_edges(edge, empty, spark):
     model = language.learn(documents(spark))
     rows = {r.doc_id: r for r in language.classify(edge, model).collect()}
@@ -405,6 +444,32 @@ def test_checked_kinds():
     assert not scan(f"ghp_{body}AAAAAA eyJhbGci.YQ.YQ {pem.replace(der, der[:-4] + 'AAAA')}")
 
 
+def test_hostile_headers():
+    """A deeply nested header is no header, and no run is read more than a few times."""
+    scan = secrets.scanner()
+    deep = base64.urlsafe_b64encode(("[" * 100_000).encode()).decode().rstrip("=")
+    assert deep.startswith("W1tb") and scan(f"eyJ{deep}.YQ.YQ") == []
+    nested = base64.urlsafe_b64encode(('{"a":' * 50_000).encode()).decode().rstrip("=")
+    assert nested.startswith("eyJ") and scan(f"{nested}.YQ.YQ") == []
+    start = time.process_time()
+    for text in ("eyJ" * 350_000, "eyJ." * 250_000, "eyJa.eyJ" * 120_000, "eyJa.a" * 170_000):
+        scan(text)
+    assert time.process_time() - start < 8
+    good = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    # a run that fails hides no later one
+    assert [secrets.KINDS[k] for _, k, _ in scan(f"eyJeyJeyJ {good}.YQ.YQ eyJ.{good}.YQ.YQ")] == ["signed", "signed"]
+
+
+def test_signed_tokens_brute_force():
+    rng, scan = random.Random(9), secrets.scanner()
+    good = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+    for _ in range(3000):
+        text = "".join(rng.choice(["eyJ", good, ".", ".", "a", " ", "-", "_x"]) for _ in range(rng.randint(1, 14)))
+        want = [(m.start(), m.end()) for m in plain.finditer(text) if secrets.signed_ok(m)]
+        assert [(a, b) for a, k, b in scan(text) if k == 4] == want
+
+
 def test_secret_edges(edge, empty):
     rows = secrets.find_secrets(edge).collect()
     none = hashlib.sha256(b"").hexdigest()
@@ -421,7 +486,7 @@ def brute_measures(text):
     windows = [tuple(words[k:k + 3]) for k in range(len(words) - 2)]
     inside = {k + s for k, w in enumerate(windows) if windows.count(w) > 1 for s in range(3)}
     full = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
-    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(full) - len(set(full)), len(inside))
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(full) - len(set(full)), len(inside), len(full))
 
 
 def test_measures_brute_force():
@@ -440,6 +505,15 @@ def test_bad_host_is_condemned(spark):
     assert out[300].host_rate > 0  # one document: drawn to the prior
 
 
+def test_repeated_lines_fail_their_rule(spark):
+    """More than half of the lines repeat earlier ones, whatever their number of words."""
+    few = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(20)]
+    rows = [(1, "\n".join(few + few[:4] * 6), "a"), (2, "\n".join(few + few[:10]), "a"), (3, " ".join(few), "a"), (4, "", "a")]
+    out = {r.doc_id: r for r in hosts.host_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert (out[1].n_lines, out[1].n_dup_lines) == (44, 24) and out[1].failed_rules == ["duplicate_lines"]
+    assert out[2].failed_rules == [] and out[3].failed_rules == [] and out[3].n_lines == 1
+
+
 def test_host_edges(edge, empty):
     assert hosts.host_rules(edge).count() == len(EDGE) and hosts.host_rules(empty).count() == 0
 

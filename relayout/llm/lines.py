@@ -1,21 +1,23 @@
-"""Operator 1, line dedup by hashed line windows [native].
-
-The lines of a document (blank ones aside) are hashed. Every window of ``WINDOW`` consecutive lines
-has a row and a least hash, its fingerprint, which is a prefilter (no window is left out by it); documents that share ``WINDOW`` lines in a row share the window and so
-its fingerprint, which is the guarantee. A line of ``LONG`` words or more is a window and a fingerprint
-by itself.
-
-1. Windows with their fingerprints are staged as a narrow table (hashes and positions, no text).
-2. Fingerprints found at two positions or more are joined back to the windows; most windows end here.
-3. A remaining window is repeated if the hash (128 bits) of all its lines comes at an earlier position, the
-   first one by document id and line. No match is extended line by line: overlapping windows that pass make
-   up the maximal repeated run.
+"""Operator 1, line dedup by winnowing [native].
+
+The lines of a document (blank ones aside) are hashed. Of every window of ``WINDOW`` consecutive lines the one with
+the least hash (of equal ones the last) is selected: its hash is the window's fingerprint. Documents that share
+``WINDOW`` lines in a row select the same line of them, which is winnowing's guarantee, and a line that is the least of several
+windows is one position. A line of ``LONG`` words or more is a window by itself, and selected.
+
+1. The selected positions are staged as a narrow table: the fingerprint, and for each window that selected it where the window
+   begins and ends and the hashes of its lines before and after the position. There are fewer of them than windows, and no text.
+2. Fingerprints found at two positions or more are joined back to the positions; most end here.
+3. What is left is extended both ways to the ends of its windows: a window is repeated if its fingerprint and both
+   hashes (192 bits) come at an earlier place, the first one by document id and line. A longer match is extended
+   through the next windows, which overlap: together the windows that repeat make up the maximal run, since each of its windows
+   selects a position of the run.
 4. The later runs are cut out of the texts.
 
 A result line is cut if and only if it lies in a run of ``WINDOW`` lines, or is a line of ``LONG`` words,
 that the corpus holds earlier. Counting is combined in every task before a shuffle; hot fingerprints and
 runs are joined by broadcast (there are at most a thousand of them, see ``common.lookup``), never as one
-task's work.
+task's work. No two positions are ever paired with each other: each meets the first place of its kind.
 
 Defined results: null and empty texts stay; a text whose lines are all cut becomes empty; blank lines
 are cut only inside a cut run. Documents are ordered by id (null first), then by a hash of the text; rows
@@ -40,42 +42,54 @@ def _blanks(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
 
 
-def windows(documents: DataFrame, *, id_col="doc_id", text_col="text", window=WINDOW, long=LONG) -> DataFrame:
-    """``id, th, at, until, fp, run1, run2`` per window: the document, its first and last line, the
-    fingerprint, and a 128-bit hash of its lines."""
+def positions(documents: DataFrame, *, id_col="doc_id", text_col="text", window=WINDOW, long=LONG) -> DataFrame:
+    """``id, th, at, fp, spans`` per selected position: the document, the line, its hash, and the windows that selected it
+    (``at`` and ``until``, their first and last line, ``left`` and ``right``, hashes of their lines around the position)."""
     lines = F.transform(
         F.split(F.col(text_col), "\n", -1),
         lambda x, i: F.struct(i.alias("i"), F.xxhash64(x).alias("h"), (_blanks(x) >= long - 1).alias("long"),
                               x.rlike("[^ \t\r]").alias("some")))
-    # the generator pins the arrays: later expressions read them instead of hashing again
+    # generators pin the arrays: later expressions read them instead of working them out again
     one = (documents.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                             F.explode(F.array(F.filter(lines, lambda x: x["some"]))).alias("l"))
-           .select("id", "th", F.explode(F.array(F.transform("l", lambda x: x["h"]))).alias("h"), "l"))
-    last = F.size("l") - window
-    runs = F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(
-        F.get("l", i)["i"].alias("at"), F.get("l", i + (window - 1))["i"].alias("until"),
-        F.slice("h", i + 1, F.lit(window)).alias("run")))).otherwise(F.array())
-    single = F.transform(F.filter("l", lambda x: x["long"]), lambda x: F.struct(
-        x["i"].alias("at"), x["i"].alias("until"), F.array(x["h"]).alias("run")))
-    return (one.select("id", "th", F.explode(F.concat(runs, single)).alias("w"))
-            .select("id", "th", "w.at", "w.until", F.array_min("w.run").alias("fp"),
-                    F.xxhash64("w.run").alias("run1"), F.xxhash64(F.lit(7), F.col("w.run")).alias("run2")))
+           .select("id", "th", "l", F.explode(F.array(F.transform("l", lambda x: x["h"]))).alias("h")))
+    last = F.size("h") - window
+    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    least = F.transform(starts, lambda s: s - F.array_min(F.transform(
+        F.slice("h", s + 1, F.lit(window)), lambda x, j: F.struct(x.alias("h"), (-j).alias("back"))))["back"])
+    won = one.select("id", "th", "l", "h", F.explode(F.array(least)).alias("least"))
+    none = F.xxhash64(F.array().cast("array<bigint>"))
+
+    def spans(x: Column, p: Column) -> Column:
+        # the windows a line lies in, and of them those that it is the least of
+        first, upto = F.greatest(p - (window - 1), F.lit(0)), F.least(p, last)
+        around = F.when(upto >= first, F.sequence(first, F.greatest(first, upto))).otherwise(F.array().cast("array<int>"))
+        wins = F.transform(F.filter(around, lambda s: F.get("least", s) == p), lambda s: F.struct(
+            F.get("l", s)["i"].alias("at"), F.get("l", s + (window - 1))["i"].alias("until"),
+            F.xxhash64(F.slice("h", s + 1, p - s)).alias("left"), F.xxhash64(F.slice("h", p + 2, s + (window - 1) - p)).alias("right")))
+        alone = F.array(F.struct(x["i"].alias("at"), x["i"].alias("until"), none.alias("left"), none.alias("right")))
+        return F.when(x["long"], F.concat(wins, alone)).otherwise(wins)
+
+    found = F.transform("l", lambda x, p: F.struct(x["i"].alias("at"), x["h"].alias("fp"), spans(x, p).alias("spans")))
+    return (won.select("id", "th", F.explode(found).alias("p")).where(F.size("p.spans") > 0)
+            .select("id", "th", "p.at", "p.fp", "p.spans"))
 
 
 def repeated_runs(found: DataFrame) -> DataFrame:
     """``id, th, at, until`` of the windows whose lines come earlier too. Reads ``found`` twice: stage it."""
     fingerprints = (found.groupBy("fp").agg(F.min(_place()).alias("a"), F.max(_place()).alias("b"), F.count(F.lit(1)).alias("n"))
                     .where(F.col("a") != F.col("b")).select("fp", "n"))
-    positions = stage(lookup(found, fingerprints, ["fp"], "n", "inner").drop("n"), "positions")
-    first = (positions.groupBy("run1", "run2").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1))
-    return (lookup(positions, first, ["run1", "run2"], "n", "inner").where(_place() > F.col("first"))
+    matched = stage(lookup(found, fingerprints, ["fp"], "n", "inner").select("id", "th", "fp", F.explode("spans").alias("s"))
+                    .select("id", "th", "fp", "s.at", "s.until", "s.left", "s.right"), "positions")
+    run = ["fp", "left", "right"]
+    first = (matched.groupBy(*run).agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    return (lookup(matched, first, run, "n", "inner").where(_place() > F.col("first"))
             .select("id", "th", "at", "until"))
 
 
 def dedup_lines(documents: DataFrame, *, id_col="doc_id", text_col="text", window=WINDOW, long=LONG) -> DataFrame:
     """``row`` (a struct of all columns of a document), ``new_text``, ``n_lines``, ``n_deleted``."""
-    found = stage(windows(documents, id_col=id_col, text_col=text_col, window=window, long=long), "line_windows")
+    found = stage(positions(documents, id_col=id_col, text_col=text_col, window=window, long=long), "line_positions")
     cut = (repeated_runs(found).groupBy(F.col("id").alias("cut_id"), F.col("th").alias("cut_th"))
            .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "until")))).alias("cut")))
     packed = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),

@@ -15,7 +15,7 @@ import sys
 
 from .functions.predicates import Expr
 from .operators.job import relayout
-from .plans.distribution import NONE, REBALANCE, SALTED
+from .plans.distribution import NONE, REBALANCE, SALTED, SIZED
 
 
 def _pairs(items: list[str], convert) -> dict:
@@ -36,7 +36,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--where-int", action="append", default=[], metavar="COL=N")
     p.add_argument("--expr", action="append", default=[], metavar="COL=SQL")
     p.add_argument("--strict", action="store_true", help="target columns must match by name, type and comment")
-    p.add_argument("--distribution", choices=[REBALANCE, SALTED, NONE], default=REBALANCE)
+    p.add_argument("--distribution", choices=[SIZED, REBALANCE, SALTED, NONE], default=SIZED)
     return p.parse_args(argv)
 
 

@@ -6,6 +6,8 @@ SQL twins in :mod:`relayout.oracle` derive the same rows in DuckDB.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ AS_OF = "2024-01-15 00:00:00"
 TTL_DAYS = 7
 MISSING_TTL_DAYS = 30
 NEGATIVE_TTL_DAYS = 8
+MORNING = "2024-01-15 06:00:00"
+BUCKETS = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,13 +60,18 @@ def containment_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 # for status 'F', the key absent for 'O'. Lines without discount get a non-integer flag, lines
 # without tax have no "columns" key, and lines of quantity 1 are cut short (malformed JSON). Quantities 2
 # to 8: no parameters, no serde list, a null parameter entry, an empty type list, a key that is no list, an
-# object as a column type, and a flag with a line end.
+# object as a column type, and a flag with a line end. Quantities 9 and 10 repeat keys (the last value counts): that of
+# a column's type, and "columns" itself; 11 has a text that looks like an object.
 # ---------------------------------------------------------------------------------------------
 
 # Fixed values of the descriptor fixture (also spelled out in the SQL twin).
 COLUMN_TYPES = ["bigint", "string", "double", "date", "timestamp", "int", "boolean"]
 
 
+def _described_name():
+    return F.concat_ws("_", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+
+
 def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     quantity = F.col("l_quantity")
@@ -110,16 +119,44 @@ def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(doc, {"ignoreNullFields": "true"})
     text = (F.when(quantity == 6, F.concat(F.lit('{"other":1,'), text.substr(F.lit(2), F.length(text))))
             .when(quantity == 7, F.replace(text, F.lit('"type":"bigint"'), F.lit('"type":{"of":"bigint"}')))
+            .when(quantity == 9, F.replace(text, F.lit('"type":"bigint"'), F.lit('"type":"text","type":"bigint"')))
+            .when((quantity == 10) & (F.col("l_tax") > 0), F.concat(F.lit('{"columns":[{"name":"old"}],'), text.substr(F.lit(2), F.length(text))))
+            .when(quantity == 11, F.replace(text, F.lit('"type":"bigint"'), F.lit('"note":"{\\"of\\":1}","type":"bigint"')))
             .otherwise(text))
     text = F.when(quantity == 1, text.substr(F.lit(1), F.length(text) - 1)).otherwise(text)
     return li.select(
         F.concat(F.lit("db_"), F.lower(F.col("l_returnflag"))).alias("db"),
-        F.concat_ws("_", F.lit("t"), F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
-                    F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("table"),
+        _described_name().alias("table"),
         text.alias("json"),
     )
 
 
+def described_events(spark: SparkSession, sf_dir: str, source: str, target: str) -> DataFrame:
+    """The documents above and, among them, those of two tables of events: by date, and by hour and type (some columns less,
+    listed in another order). Comments are the same in both."""
+    comments = {"event_id": "one per event", "event_date": "", "value": None}
+    kinds = dict(events_with_layout(spark, sf_dir).dtypes)
+
+    def document(names: list[str], partitions: list[str]) -> str:
+        columns = [{"name": n, "type": kinds[n], "is_partition": str(int(n in partitions)),
+                    **({"comment": comments.get(n, "of events")} if comments.get(n, "") is not None else {})} for n in names]
+        return json.dumps({"columns": columns, "table_params": [], "serde_info": []})
+
+    two = spark.createDataFrame([
+        ("Events", source, document([*kinds], ["event_date"])),
+        ("Events", target, document(["event_type", "value", "event_hour", "user_id", "event_id"], ["event_hour", "event_type"])),
+    ], "db string, table string, json string")
+    return descriptor_documents(spark, sf_dir).unionByName(two)
+
+
+def descriptor_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pair_id`` (a described table's name) and ``source``, the table of the last line of the same order: its columns hold
+    the others' by name and type, so it is up to the comments (the return flags) whether it contains them."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _described_name().alias("pair_id"))
+    last = li.groupBy("l_orderkey").agg(F.max(F.struct("l_linenumber", "pair_id"))["pair_id"].alias("source"))
+    return li.join(last, "l_orderkey").select("pair_id", "source").distinct()
+
+
 # ---------------------------------------------------------------------------------------------
 # Name inventory: every part is a table named by its part name, in a database named by its type.
 # ---------------------------------------------------------------------------------------------
@@ -130,6 +167,14 @@ def name_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", F.col("p_type").alias("db"), F.col("p_name").alias("table"))
 
 
+def brand_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database for every part type, with a table for every brand of it and one for every container-like second word."""
+    part = table(spark, sf_dir, "part")
+    named = lambda prefix, c: F.concat(F.lit(prefix), F.regexp_replace(F.lower(c), "[^a-z0-9]+", "_"))
+    return (part.select(F.lower("p_type").alias("db"), F.explode(F.array(named("Brand_", F.col("p_brand")), named("name_", F.col("p_name")))).alias("table"))
+            .distinct())
+
+
 # ---------------------------------------------------------------------------------------------
 # Keyed lookup: suppliers and customers are the source, in two namespaces; events are the
 # requests (views and clicks ask for customers, other events for suppliers; the user id is the
@@ -184,3 +229,17 @@ def lookup_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     stale = cus.where((F.col("c_acctbal") < 0) & (F.col("c_nationkey") >= 20)).select(
         F.lit("customer").alias("namespace"), F.col("c_custkey").alias("key"), (_as_of() + _days(1)).alias("expires_at"))
     return recorded.unionByName(stale)
+
+
+def lookup_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache with entries that expire at several hours of a day: that of the nation's number."""
+    hours = F.make_dt_interval(hours=F.col("nation").cast("int"))
+    return lookup_cache(spark, sf_dir).withColumn("expires_at", F.col("expires_at") + hours)
+
+
+def priced_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a careless feed gives them: prices as text, with a mark before those of pending ones."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus",
+        F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("~"), price)).otherwise(price).alias("o_totalprice"))

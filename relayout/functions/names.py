@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,3 +23,10 @@ def full_match(col: Column, pattern: str) -> Column:
 def folded(col: Column) -> Column:
     """Names are addressed case-insensitively: both sides of a lookup are lower-cased."""
     return F.lower(col)
+
+
+def glob_match(col: Column, pattern: str) -> Column:
+    """True when the whole name matches a catalog listing's pattern, case-insensitively: ``*`` is any run of
+    characters, ``|`` separates alternatives, any other character is itself."""
+    parts = [".*".join(re.escape(x) for x in alternative.strip().split("*")) for alternative in pattern.lower().split("|")]
+    return folded(col).rlike(r"(?s)\A(?:" + "|".join(parts) + r")\z")

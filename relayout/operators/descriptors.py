@@ -19,7 +19,11 @@ flat objects, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a
 an empty ``type_info`` list, an ``is_partition`` that is not an integer).
 
 Everything is evaluated row by row with JVM-side JSON, array and higher-order functions: no
-shuffle, no Python, and each document's work is bounded by its own size.
+shuffle, no Python, and each document's work is bounded by its own size. A document is read once, as
+a map of lists of maps of texts: that type itself refuses every other shape, whichever keys it has, and keeps
+all occurrences of a repeated key, of which the last one counts. The one thing the type lets pass is a nested
+object or list in a text's place (read as its JSON text); only documents with a text that begins like one are
+read again, as variants.
 """
 
 from __future__ import annotations
@@ -28,14 +32,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DOCUMENT_SCHEMA = (
-    "columns array<struct<name:string,type:string,comment:string,is_partition:string>>, "
-    "table_params array<struct<param_key:string,param_value:string>>, "
-    "serde_info array<struct<serde_input:string,serde_output:string>>, "
-    "type_info array<struct<table_type:string,view_expanded_text:string>>, "
-    "_corrupt_record string"
-)
+from ..functions.names import folded
+from ..sources.tables import Layout
+
+DOCUMENT_TYPE = "map<string,array<map<string,string>>>"
+#: The lists of a document and the keys of their entries.
+LISTS = {
+    "columns": ("name", "type", "comment", "is_partition"),
+    "table_params": ("param_key", "param_value"),
+    "serde_info": ("serde_input", "serde_output"),
+    "type_info": ("table_type", "view_expanded_text"),
+}
 
 # Integer.parseInt accepts an optional sign and decimal digits only (no blanks), within int range.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
@@ -50,34 +59,59 @@ class Descriptors:
     rejected: DataFrame  # db, table, json, reason
     parsed: DataFrame    # db, table, json, doc, flat, reason: what the others are views of
 
+    def layout(self, db: str, table: str) -> Layout:
+        """S2 from a document: the layout of one described table. Only that table's columns reach the driver. Names of databases
+        and tables are matched without regard to case. A table without a document, or with one that
+        describes none, is an error, as is one with several."""
+        named = (folded(F.col("db")) == db.lower()) & (folded(F.col("table")) == table.lower())
+        documents = self.parsed.where(named).select(F.col("reason"), F.col("doc.columns").alias("columns")).limit(2).collect()
+        if len(documents) != 1:
+            raise ValueError(f"{len(documents) or 'no'} {'documents describe' if documents else 'document describes'} {db}.{table}")
+        if documents[0]["reason"] is not None:
+            raise ValueError(f"the document of {db}.{table} is rejected: {documents[0]['reason']}")
+        fields: dict[bool, list[T.StructField]] = {True: [], False: []}
+        for c in documents[0]["columns"]:
+            meta = {} if c["comment"] is None else {"comment": c["comment"]}
+            fields[int(c["is_partition"]) == 1].append(T.StructField(c["name"], T.DataType.fromDDL(c["type"]), True, meta))
+        return Layout(T.StructType(fields[False]), T.StructType(fields[True]))
+
 
 def _parsed_int(c: Column) -> Column:
     return F.when(c.rlike(INT_TEXT), c.try_cast("int"))
 
 
-def _flat_lists(json: Column) -> Column:
-    """Whether the document is an object of lists of objects of plain values, as the typed read demands; null
-    where it is no JSON. (``from_json`` would read an object in a text's place as text.)"""
-    value = F.try_parse_json(json)
-    kinds = lambda v, allowed: ~F.schema_of_variant(v).rlike(f"^({allowed})")
-    tops = F.map_values(F.try_variant_get(value, "$", "map<string,variant>"))
-    lists = F.map_values(F.try_variant_get(value, "$", "map<string,array<variant>>"))
-    entries = F.map_values(F.try_variant_get(value, "$", "map<string,array<map<string,variant>>>"))
-    odd = lambda found: F.coalesce(found, F.lit(False))
-    wrong = (odd(F.exists(tops, lambda v: kinds(v, "ARRAY|VOID")))
-             | odd(F.exists(lists, lambda a: odd(F.exists(a, lambda v: kinds(v, "OBJECT|VOID")))))
-             | odd(F.exists(entries, lambda a: odd(F.exists(a, lambda e: odd(F.exists(
-                 F.map_values(e), lambda v: ~kinds(v, "OBJECT|ARRAY"))))))))
-    return F.when(value.isNotNull(), tops.isNotNull() & ~wrong)
+def _last(m: Column, key: str) -> Column:
+    """The last value of a key in a map read from JSON, which may hold the key several times."""
+    return F.try_element_at(F.filter(F.map_entries(m), lambda e: e["key"] == key), F.lit(-1))["value"]
+
+
+def _document(read: Column) -> Column:
+    """The lists of a document, their entries as structs (null entries stay null)."""
+
+    def entries(name: str, keys: tuple[str, ...]) -> Column:
+        return F.transform(_last(read, name), lambda e: F.when(e.isNotNull(), F.struct(*[_last(e, k).alias(k) for k in keys])))
+
+    return F.struct(*[entries(name, keys).alias(name) for name, keys in LISTS.items()])
+
+
+def _nested(json: Column, read: Column) -> Column:
+    """Whether a text of the document is a nested object or list in truth."""
+    anywhere = lambda m, test: F.exists(F.map_values(m), lambda a: F.coalesce(F.exists(a, lambda e: F.coalesce(
+        F.exists(F.map_values(e), test), F.lit(False))), F.lit(False)))
+    suspect = anywhere(read, lambda v: F.coalesce(v.startswith("{") | v.startswith("["), F.lit(False)))
+    variants = F.from_json(json, "map<string,array<map<string,variant>>>")
+    # a nested object that is no variant either (it repeats a key) is an object all the same
+    true_kind = F.coalesce(anywhere(variants, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))), F.lit(True))
+    return F.when(F.coalesce(suspect, F.lit(False)), true_kind).otherwise(F.lit(False))
 
 
-def _reason(doc: Column, flat: Column) -> Column:
+def _reason(doc: Column, flat: Column, json: Column) -> Column:
     cols = doc["columns"]
     null_entry = lambda a: F.exists(a, lambda x: x.isNull())
     bad_flag = F.exists(cols, lambda x: _parsed_int(x["is_partition"]).isNull())
     return (
-        F.when(doc.isNull() | doc["_corrupt_record"].isNotNull(), F.lit("malformed json"))
-        .when(~flat, F.lit("not lists of flat entries"))
+        F.when(~flat, F.when(F.from_json(json, "map<string,string>").isNull(), F.lit("malformed json"))
+               .otherwise(F.lit("not lists of flat entries")))
         .when(cols.isNull(), F.lit("missing columns"))
         .when(doc["table_params"].isNull(), F.lit("missing table_params"))
         .when(doc["serde_info"].isNull(), F.lit("missing serde_info"))
@@ -93,14 +127,13 @@ def parse_descriptors(df: DataFrame, json_col: str = "json") -> Descriptors:
     its input again. Where several are needed, run them over a materialized parse (``parsed`` of this
     result, see :func:`relayout.materialize`)."""
     # The parse is the output of a generator (one element per row), so every later field access
-    # reads that one struct. A plain column would let the optimizer split it into one pruned
-    # from_json per accessed field: the same document parsed about ten times.
-    # The session may name another corrupt-record column: the one of the schema is passed explicitly.
-    doc = F.from_json(F.col(json_col), DOCUMENT_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    both = F.struct(doc.alias("doc"), _flat_lists(F.col(json_col)).alias("flat"))
-    parsed = df.select("db", "table", json_col, F.explode_outer(F.array(both)).alias("p")).select(
-        "db", "table", json_col, "p.doc", F.coalesce("p.flat", F.lit(False)).alias("flat"))
-    parsed = parsed.withColumn("reason", _reason(F.col("doc"), F.col("flat")))
+    # reads that one map. A plain column would let the optimizer parse the document once per accessed field.
+    json = F.col(json_col)
+    read = df.select("db", "table", json_col, F.explode_outer(F.array(F.from_json(json, DOCUMENT_TYPE))).alias("read"))
+    flat = F.col("read").isNotNull() & ~_nested(json, F.col("read"))
+    parsed = read.select("db", "table", json_col, F.explode_outer(F.array(F.struct(
+        F.when(flat, _document(F.col("read"))).alias("doc"), flat.alias("flat")))).alias("p")).select("db", "table", json_col, "p.doc", "p.flat")
+    parsed = parsed.withColumn("reason", _reason(F.col("doc"), F.col("flat"), json))
     return outputs_of(parsed.withColumnRenamed(json_col, "json"))
 
 
@@ -115,8 +148,7 @@ def _fields(parsed: DataFrame) -> DataFrame:
     """The field list as the plain listing call gives it: every entry of ``columns`` in document
     order, for every document that parses and has that list; the other keys and ``is_partition``
     are not looked at, so documents rejected for those reasons still list their fields."""
-    listed = parsed.where(F.col("doc").isNotNull() & F.col("doc._corrupt_record").isNull()
-                          & F.col("flat") & F.col("doc.columns").isNotNull())
+    listed = parsed.where(F.col("flat") & F.col("doc.columns").isNotNull())
     return (listed.select("db", "table", F.posexplode("doc.columns").alias("position", "c"))
             .select("db", "table", "position", "c.name", "c.type", "c.comment"))
 

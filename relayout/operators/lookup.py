@@ -15,6 +15,10 @@ reduction is aggregated map-side, so a key holding a third of all requests becom
 before any shuffle, and the joins that follow see every key once. Joins are plain equi-joins on the
 keys; AQE turns one into a broadcast only when the runtime size of a side is below the threshold.
 
+A batch of few keys should not move a large store: :func:`read_through_batch` writes the distinct keys down, measures
+them, and if they are within ``BATCH_BYTES`` sends them to the scans of the lookup and of the source, which then
+are not shuffled at all. Stores kept bucketed by key (``sources.store``) are not moved by batches of any size.
+
 Intended semantics are implemented, not the original defects: a negative is recorded only for a
 key the source lacks and only when negatives are enabled; a hit on a live negative does not extend
 it; a bulk read consults negatives like a single read.
@@ -32,6 +36,8 @@ from ..functions.expiry import Instant, expiry, live
 from ..sources.staging import materialize
 
 KEYS = ("namespace", "key")
+#: Keys of this size together are sent to every task.
+BATCH_BYTES = 32 << 20
 
 
 def _live(df: DataFrame, as_of: Instant) -> DataFrame:
@@ -106,7 +112,11 @@ def read_through(
               .otherwise(F.lit("absent")))
     resolved = resolved.select(*keys, status.alias("status"), *[f"_cache_{c}" for c in payload],
                                *[f"_source_{c}" for c in payload])
+    return _outputs(resolved, payload, as_of, negative is not None, ttl_seconds, missing_ttl_seconds, keys)
+
 
+def _outputs(resolved: DataFrame, payload: list[str], as_of: Instant, negatives: bool, ttl_seconds: int | None,
+             missing_ttl_seconds: int | None, keys: list[str]) -> Resolution:
     def origin(which: str) -> DataFrame:
         return resolved.where(F.col("status") == which).select(
             *keys, *[F.col(f"_{which}_{c}").alias(c) for c in payload])
@@ -119,12 +129,70 @@ def read_through(
         F.col("status").alias("origin"))
     stored = origin("source").withColumn("expires_at", expiry(as_of, ttl_seconds))
     absent = resolved.where(F.col("status") == "absent").select(*keys)
-    if negative is None:
+    if not negatives:
         absent = absent.where(F.lit(False))
     not_found = absent.withColumn("expires_at", expiry(as_of, missing_ttl_seconds))
     return Resolution(resolved, found, stored, not_found)
 
 
+def key_bytes(rows: DataFrame, keys: Sequence[str]) -> int:
+    """The size of the keys: the bytes of texts and binaries, 16 for any other value."""
+    types = dict(rows.dtypes)
+    size = sum((F.octet_length(k) if types[k] in ("string", "binary") else F.lit(16)) for k in keys)
+    return rows.agg(F.sum((size + 16).cast("long"))).first()[0] or 0
+
+
+def of_keys(table: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a table whose key is among ``wanted``, which is sent to every task: nothing of the table is moved."""
+    return table.join(F.broadcast(wanted.select(*keys)), list(keys), "left_semi")
+
+
+def read_through_batch(
+    requests: DataFrame,
+    lookup: DataFrame,
+    source: DataFrame,
+    as_of: Instant,
+    *,
+    negative: DataFrame | None = None,
+    ttl_seconds: int | None = None,
+    missing_ttl_seconds: int | None = None,
+    keys: Sequence[str] = KEYS,
+    batch_bytes: int = BATCH_BYTES,
+) -> Resolution:
+    """:func:`read_through` for a batch of keys, which is written down and measured first.
+
+    Up to ``batch_bytes`` the keys are broadcast into the scan of the lookup, those it misses (and no live negative
+    blocks) into the scan of the source. What the two scans give is at most the batch's rows; it is written down, too, and the
+    outputs are put together from that, so each table is scanned once, without an exchange, when this is called. Larger
+    batches take the plan of :func:`read_through`, over the keys as written.
+    """
+    keys = list(keys)
+    payload = [c for c in source.columns if c not in keys]
+    wanted = materialize(_distinct_keys(requests, keys), "batch_keys")
+    if key_bytes(wanted, keys) > batch_bytes:
+        return read_through(wanted, lookup, source, as_of, negative=negative, ttl_seconds=ttl_seconds,
+                            missing_ttl_seconds=missing_ttl_seconds, keys=keys)
+    cached = materialize(of_keys(_live(lookup, as_of), wanted, keys).select(*keys, *payload), "batch_cached")
+    missed = wanted.join(cached.select(*keys), keys, "left_anti")
+    if negative is not None:
+        blocked = materialize(of_keys(_live(negative, as_of), missed, keys).select(*keys).distinct(), "batch_negative")
+        missed = missed.join(blocked, keys, "left_anti")
+    missed = materialize(missed, "batch_missed")
+    loaded = materialize(of_keys(source, missed, keys).select(*keys, *payload), "batch_loaded")
+
+    def part(rows: DataFrame, status: str) -> DataFrame:
+        """Rows of one status, with the payload of its side."""
+        types = dict(cached.dtypes)
+        sides = [(F.col(c) if status == side else F.lit(None).cast(types[c])).alias(f"_{side}_{c}") for side in ("cache", "source") for c in payload]
+        return rows.select(*keys, F.lit(status).alias("status"), *sides)
+
+    resolved = (part(cached, "cache").unionByName(part(loaded, "source"))
+                .unionByName(part(missed.join(loaded.select(*keys), keys, "left_anti"), "absent")))
+    if negative is not None:
+        resolved = resolved.unionByName(part(blocked, "negative"))
+    return _outputs(resolved, payload, as_of, negative is not None, ttl_seconds, missing_ttl_seconds, keys)
+
+
 def upsert(
     lookup: DataFrame,
     updates: DataFrame,

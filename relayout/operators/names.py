@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import folded, full_match
+from ..functions.names import folded, full_match, glob_match
 
 
 def all_tables(names: DataFrame, db: str) -> DataFrame:
@@ -27,3 +27,9 @@ def catalog_names(spark: SparkSession, db: str, pattern: str | None = None) -> D
     lower-cases it), as a name inventory."""
     listed = spark.catalog.listTables(db, pattern.lower() if pattern else None)
     return spark.createDataFrame([(db, t.name) for t in listed], "db string, table string")
+
+
+def names_like(names: DataFrame, pattern: str) -> DataFrame:
+    """N3 over an inventory: the tables, of all databases, that the catalog's listing by ``pattern`` would give. A
+    filter, for inventories that no catalog listing on the driver should hold."""
+    return names.where(glob_match(F.col("table"), pattern))

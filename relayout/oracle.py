@@ -256,3 +256,59 @@ SQL["lookup_store_loaded"] = LOOKUP_BASE + f""",
     WHERE NOT EXISTS (SELECT 1 FROM loaded l WHERE l.namespace = c.namespace AND l.key = c.key)
     UNION ALL
     SELECT namespace, key, name, balance, nation, {AS_OF} + INTERVAL 7 DAY AS expires_at FROM loaded"""
+
+SQL["relayout_view"] = f"""
+    SELECT event_id, value, event_date, event_type FROM ({EVENTS_WITH_LAYOUT}) e
+    WHERE event_hour < 12 AND event_date = '2024-01-02'"""
+
+SQL["relayout_from_descriptors"] = f"""
+    SELECT value, user_id, event_id, event_hour, event_type FROM ({EVENTS_WITH_LAYOUT}) e
+    WHERE event_date = '2024-01-03'"""
+
+SQL["relayout_rejects"] = """
+    SELECT CASE WHEN o_orderstatus = 'P' THEN 'rejected' ELSE 'target' END AS origin, o_orderkey,
+           CASE WHEN o_orderstatus = 'P' THEN '~' ELSE '' END || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+           o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'o_totalprice' ELSE '' END AS at_fault
+    FROM orders"""
+
+SQL["containment_comments"] = DESCRIPTOR_BASE + """,
+    pairs AS (
+        SELECT DISTINCT "table" AS pair_id,
+               max({'n': l_linenumber, 't': "table"}) OVER (PARTITION BY l_orderkey).t AS source FROM li),
+    cols AS (
+        SELECT DISTINCT "table", 'c' || CAST(i AS VARCHAR) AS name,
+               (['bigint', 'string', 'double', 'date', 'timestamp', 'int', 'boolean'])[i] AS type,
+               CASE WHEN i % 2 = 1 THEN l_returnflag ELSE '' END AS comment
+        FROM (SELECT *, unnest(range(1, l_linenumber + 1)) AS i FROM good)),
+    tgt AS (SELECT pair_id, name, type, comment FROM pairs JOIN cols ON "table" = pair_id),
+    src AS (SELECT pair_id, name, type, comment FROM pairs JOIN cols ON "table" = source),
+    miss AS (SELECT * FROM tgt EXCEPT SELECT * FROM src),
+    s AS (SELECT pair_id, count(*) AS n FROM src GROUP BY pair_id),
+    t AS (SELECT pair_id, count(*) AS n FROM tgt GROUP BY pair_id),
+    m AS (SELECT pair_id, count(*) AS n FROM miss GROUP BY pair_id)
+    SELECT p.pair_id, (s.n IS NOT NULL AND t.n IS NOT NULL AND coalesce(m.n, 0) = 0) AS valid,
+           coalesce(m.n, 0) AS missing_columns
+    FROM (SELECT DISTINCT pair_id FROM pairs) p
+    LEFT JOIN s ON s.pair_id = p.pair_id LEFT JOIN t ON t.pair_id = p.pair_id LEFT JOIN m ON m.pair_id = p.pair_id"""
+
+SQL["names_glob"] = r"""
+    WITH named AS (
+        SELECT lower(p_type) AS db, 'Brand_' || regexp_replace(lower(p_brand), '[^a-z0-9]+', '_', 'g') AS "table" FROM part
+        UNION
+        SELECT lower(p_type), 'name_' || regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g') FROM part)
+    SELECT db, "table" FROM named WHERE lower("table") LIKE 'brand\_%' ESCAPE '\' OR lower("table") LIKE 'name\_red%rod' ESCAPE '\'"""
+
+SQL["lookup_batch"] = LOOKUP_BASE + """,
+    last_day AS (SELECT DISTINCT namespace, key FROM requests WHERE CAST(ts AS DATE) = DATE '2024-01-30')
+    SELECT c.namespace, c.key, name, balance, nation, 'cache' AS origin FROM live_cache c
+    JOIN last_day d ON d.namespace = c.namespace AND d.key = c.key
+    UNION ALL
+    SELECT s.namespace, s.key, s.name, s.balance, s.nation, 'source' AS origin FROM source s
+    JOIN misses m ON m.namespace = s.namespace AND m.key = s.key
+    JOIN last_day d ON d.namespace = s.namespace AND d.key = s.key"""
+
+SQL["lookup_bucketed"] = SQL["lookup_read_through"]
+
+SQL["lookup_compact"] = LOOKUP_BASE + """
+    SELECT * FROM (SELECT namespace, key, name, balance, nation, expires_at + nation * INTERVAL 1 HOUR AS expires_at FROM cache)
+    WHERE expires_at IS NULL OR expires_at > TIMESTAMP '2024-01-15 06:00:00'"""

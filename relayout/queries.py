@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixtures as fx
-from .fixtures import AS_OF, MISSING_TTL_DAYS, TTL_DAYS, events_with_layout, table
+from .fixtures import AS_OF, BUCKETS, MISSING_TTL_DAYS, MORNING, TTL_DAYS, events_with_layout, table
 from .functions.predicates import Expr
 from .operators.containment import schema_containment as contain
 from .operators.descriptors import parse_descriptors
 from .operators.job import relayout
-from .operators.lookup import invalidate, present, read_through, record_negative, refresh, stats, upsert
-from .operators.names import all_tables, catalog_names, tables_matching
+from .operators.lookup import invalidate, present, read_through, read_through_batch, record_negative, refresh, stats, upsert
+from .operators.names import all_tables, catalog_names, names_like, tables_matching
 from .session import scratch_path
 from .sources.staging import path_table_for, written_once
-from .sources.tables import read_table
+from .sources.store import compact, entries, write_bucketed, write_by_expiry
+from .sources.tables import path_table, read_table
 
 # ---------------------------------------------------------------------------------------------
 # Relayout job
@@ -175,6 +176,39 @@ def relayout_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(spark.table(view).select(F.lit("view").alias("origin"), *columns)))
 
 
+def relayout_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8f: the source is a view of the session, the target a catalog table (loaded in a session of its own)."""
+    tag = uuid.uuid4().hex[:8]
+    view, target = f"relayout_of_{tag}", f"relayout_from_view_{tag}"
+    events_with_layout(spark, sf_dir).where("event_hour < 12").createOrReplaceTempView(view)
+    spark.sql(f"CREATE TABLE {target} (event_id BIGINT, value DOUBLE, event_date STRING, event_type STRING) "
+              f"USING parquet PARTITIONED BY (event_type) LOCATION '{scratch_path(spark, target)}'")
+    return relayout(spark, view, target, {"event_date": "2024-01-02"})
+
+
+def relayout_from_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8g: both layouts come from documents, found among those of all tables; whole fields are compared (strict)."""
+    source, target = "events_by_date", "events_by_hour_and_type"
+    stored = _stage(spark, sf_dir, "events", ["event_date"])
+    docs = written_once(spark, ("described", sf_dir), lambda: fx.described_events(spark, sf_dir, source, target), "described")
+    described = parse_descriptors(read_table(spark, docs))
+    return relayout(spark, path_table(described.layout("events", source), stored.path),
+                    path_table(described.layout("EVENTS", target), scratch_path(spark, target)), {"event_date": "2024-01-03"}, strict=True)
+
+
+def relayout_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8h: prices come as text, and some are none: those rows go to a folder of their own, the others are loaded."""
+    src = written_once(spark, ("source", sf_dir, "priced"), lambda: fx.priced_orders(spark, sf_dir), "orders_priced", ["o_orderpriority"])
+    tgt = _target(spark, src, "orders_checked", ["o_orderstatus"], ["o_orderkey", "o_totalprice", "o_orderstatus"],
+                  types={"o_totalprice": T.DecimalType(18, 2)})
+    refused = scratch_path(spark, "orders_refused")
+    out = relayout(spark, src, tgt, {}, rejects=refused)
+    columns = ["o_orderkey", F.col("o_totalprice").cast("string").alias("price"), "o_orderstatus"]
+    return (out.select(F.lit("target").alias("origin"), *columns, F.lit("").alias("at_fault"))
+            .unionByName(spark.read.parquet(refused).select(
+                F.lit("rejected").alias("origin"), *columns, F.array_join("rejected_columns", ",").alias("at_fault"))))
+
+
 # ---------------------------------------------------------------------------------------------
 # Schema containment (V2, V3)
 # ---------------------------------------------------------------------------------------------
@@ -187,6 +221,16 @@ def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contain(source, target, pairs)
 
 
+def containment_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per described table, is it contained in the widest described table of the same order; columns are equal in
+    name and type, so comments decide. Tables whose document is rejected are invalid."""
+    columns = _descriptors(spark, sf_dir).columns.select("table", "name", "type", "comment")
+    pairs = fx.descriptor_pairs(spark, sf_dir)
+    target = columns.join(pairs.select(F.col("pair_id").alias("table")), "table").withColumnRenamed("table", "pair_id")
+    source = columns.join(pairs.withColumnRenamed("source", "table"), "table").drop("table")
+    return contain(source, target, pairs)
+
+
 # ---------------------------------------------------------------------------------------------
 # Table descriptors (D1-D7) and names
 # ---------------------------------------------------------------------------------------------
@@ -247,6 +291,11 @@ def names_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog_names(spark, db, "BRAND_*").select("table")
 
 
+def names_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12d: the tables of all databases (one for every part type) that the catalog's pattern lists."""
+    return names_like(fx.brand_inventory(spark, sf_dir), "BRAND_*|name_red*rod")
+
+
 # ---------------------------------------------------------------------------------------------
 # Keyed lookup
 # ---------------------------------------------------------------------------------------------
@@ -328,3 +377,40 @@ def lookup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q19: per namespace, requests answered by a live cache entry and the others."""
     requests, cache, _, _ = _lookup_inputs(spark, sf_dir)
     return stats(requests, cache, AS_OF)
+
+
+def lookup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q20: the keys requested on the last day, as a batch: sent to the scans of the cache and of the source, which are not
+    shuffled."""
+    requests, cache, source, negative = _lookup_inputs(spark, sf_dir)
+    last_day = requests.where(F.to_date("ts") == F.lit("2024-01-30").cast("date"))
+    return read_through_batch(last_day, cache, source, AS_OF, negative=negative,
+                              ttl_seconds=TTL_DAYS * 86400, missing_ttl_seconds=MISSING_TTL_DAYS * 86400).found
+
+
+_BUCKETED: dict = {}
+
+
+def bucketed_stores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Cache, negatives and source as bucketed catalog tables, written once per application."""
+    build = {"cache": fx.lookup_cache, "source": fx.lookup_source, "negative": fx.lookup_negative}
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUCKETED or not all(spark.catalog.tableExists(t) for t in _BUCKETED[key].values()):
+        tag = uuid.uuid4().hex[:8]
+        _BUCKETED[key] = {name: f"lookup_{name}_{tag}" for name in build}
+        for name, make in build.items():
+            write_bucketed(make(spark, sf_dir), _BUCKETED[key][name], BUCKETS)
+    return {name: spark.table(t) for name, t in _BUCKETED[key].items()}
+
+
+def lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q21: every requested key answered, from stores bucketed by key, which stay where they are."""
+    stores = bucketed_stores(spark, sf_dir)
+    return read_through(fx.lookup_requests(spark, sf_dir), stores["cache"], stores["source"], AS_OF, negative=stores["negative"]).found
+
+
+def lookup_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q22: a cache partitioned by expiry day after removing what is dead in the morning of a day."""
+    store = write_by_expiry(fx.lookup_hours(spark, sf_dir), scratch_path(spark, "cache_by_expiry"))
+    compact(spark, store, MORNING)
+    return entries(spark, store)

@@ -123,3 +123,36 @@ def test_params_null_key_and_value(spark):
               {"param_key": "k", "param_value": "c"}, {"param_key": "j"}]
     got = {(r.param_key, r.param_value) for r in _parse(spark, [_doc(table_params=params)]).params.collect()}
     assert got == {(None, "b"), ("k", "c"), ("j", None)}
+
+
+def test_last_of_repeated_keys(spark):
+    text = _doc()
+    repeated = [
+        text.replace('"type": "double"', '"type": "old", "type": "double"'),
+        '{"columns": [{"name": "old", "is_partition": "x"}], ' + text[1:],
+        text[:-1] + ', "columns": null}',
+        '{"columns": 3, ' + text[1:],
+        text.replace('"type": "double"', '"type": {"a": 1}, "type": "double"'),
+    ]
+    d = _parse(spark, repeated)
+    assert {(r.table, r.reason) for r in d.rejected.collect()} == {
+        ("t2", "missing columns"), ("t3", "not lists of flat entries"), ("t4", "not lists of flat entries")}
+    got = {(r.table, r.name, r.type) for r in d.columns.collect()}
+    assert got == {(t, n, k) for t in ("t0", "t1") for n, k in (("event_id", "string"), ("event_date", "string"), ("v", "double"))}
+
+
+def test_texts_that_look_nested(spark):
+    texts = ['{"a": 1}', "[1]", "{", "plain"]
+    cols = [{"name": t, "type": "int", "comment": "", "is_partition": "0"} for t in texts]
+    nested = [_doc(columns=[{"name": x, "is_partition": "0"}]) for x in ({"a": 1}, [1], {})]
+    deep = '{"columns": [{"name": {"k": 1, "k": 2}, "is_partition": "0"}], "table_params": [], "serde_info": []}'
+    d = _parse(spark, [_doc(columns=cols), *nested, deep])
+    assert [r.name for r in d.columns.orderBy("position").collect()] == texts
+    assert {r.table for r in d.rejected.where("reason = 'not lists of flat entries'").collect()} == {"t1", "t2", "t3", "t4"}
+
+
+def test_other_shapes(spark):
+    docs = ['{"columns": "text"}', '{"columns": {"name": "a"}}', '{"columns": [["a"]]}', '{"other": 1}', '{"columns": [1]}',
+            '{"other": [{"any": "text"}]}', "", "null", "7", '{"columns": [{"name": "a"},]}']
+    reasons = [r.reason for r in _parse(spark, docs).rejected.orderBy("table").collect()]
+    assert reasons == ["not lists of flat entries"] * 5 + ["missing columns"] + ["malformed json"] * 4

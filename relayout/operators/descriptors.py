@@ -19,11 +19,10 @@ flat objects, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a
 an empty ``type_info`` list, an ``is_partition`` that is not an integer).
 
 Everything is evaluated row by row with JVM-side JSON, array and higher-order functions: no
-shuffle, no Python, and each document's work is bounded by its own size. A document is read once, as
-a map of lists of maps of texts: that type itself refuses every other shape, whichever keys it has, and keeps
-all occurrences of a repeated key, of which the last one counts. The one thing the type lets pass is a nested
-object or list in a text's place (read as its JSON text); only documents with a text that begins like one are
-read again, as variants.
+shuffle, no Python, and each document's work is bounded by its own size. A document is read by two types:
+as a map of lists of maps of texts, which refuses every other shape, whichever keys it has, and as the structs that are
+wanted, which keep the last value of a repeated key. The one thing the first lets pass is a nested
+object or list in a text's place (read as its JSON text), which is told from the document without its texts.
 """
 
 from __future__ import annotations
@@ -37,14 +36,19 @@ from pyspark.sql import types as T
 from ..functions.names import folded
 from ..sources.tables import Layout
 
-DOCUMENT_TYPE = "map<string,array<map<string,string>>>"
-#: The lists of a document and the keys of their entries.
-LISTS = {
-    "columns": ("name", "type", "comment", "is_partition"),
-    "table_params": ("param_key", "param_value"),
-    "serde_info": ("serde_input", "serde_output"),
-    "type_info": ("table_type", "view_expanded_text"),
-}
+#: What a document is: this type refuses every other shape, whichever keys a document has.
+SHAPE = "map<string,array<map<string,string>>>"
+#: What is read of it. Of a repeated key the last value counts.
+DOCUMENT_SCHEMA = (
+    "columns array<struct<name:string,type:string,comment:string,is_partition:string>>, "
+    "table_params array<struct<param_key:string,param_value:string>>, "
+    "serde_info array<struct<serde_input:string,serde_output:string>>, "
+    "type_info array<struct<table_type:string,view_expanded_text:string>>"
+)
+#: Texts are in double quotes, as JSON has it.
+READING = {"allowSingleQuotes": "false"}
+#: A key that is followed by an object or a list; in a document without its texts, an entry that holds one.
+BEFORE_NESTED, NESTED = r""""\s*:\s*[\[{]""", r"""[\[,]\s*\{[^{}\[\]]*:\s*[\[{]"""
 
 # Integer.parseInt accepts an optional sign and decimal digits only (no blanks), within int range.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
@@ -80,29 +84,13 @@ def _parsed_int(c: Column) -> Column:
     return F.when(c.rlike(INT_TEXT), c.try_cast("int"))
 
 
-def _last(m: Column, key: str) -> Column:
-    """The last value of a key in a map read from JSON, which may hold the key several times."""
-    return F.try_element_at(F.filter(F.map_entries(m), lambda e: e["key"] == key), F.lit(-1))["value"]
-
-
-def _document(read: Column) -> Column:
-    """The lists of a document, their entries as structs (null entries stay null)."""
-
-    def entries(name: str, keys: tuple[str, ...]) -> Column:
-        return F.transform(_last(read, name), lambda e: F.when(e.isNotNull(), F.struct(*[_last(e, k).alias(k) for k in keys])))
-
-    return F.struct(*[entries(name, keys).alias(name) for name, keys in LISTS.items()])
-
-
-def _nested(json: Column, read: Column) -> Column:
-    """Whether a text of the document is a nested object or list in truth."""
-    anywhere = lambda m, test: F.exists(F.map_values(m), lambda a: F.coalesce(F.exists(a, lambda e: F.coalesce(
-        F.exists(F.map_values(e), test), F.lit(False))), F.lit(False)))
-    suspect = anywhere(read, lambda v: F.coalesce(v.startswith("{") | v.startswith("["), F.lit(False)))
-    variants = F.from_json(json, "map<string,array<map<string,variant>>>")
-    # a nested object that is no variant either (it repeats a key) is an object all the same
-    true_kind = F.coalesce(anywhere(variants, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))), F.lit(True))
-    return F.when(F.coalesce(suspect, F.lit(False)), true_kind).otherwise(F.lit(False))
+def _nested(json: Column, shape: Column) -> Column:
+    """Whether a text of the document is a nested object or list in truth, which the shape lets pass (as its JSON
+    text). In the document such a value follows a key, where flat ones have lists below their own keys only: most
+    documents are done with a look at the text. Texts may hold the like, too: of the others all texts are emptied first."""
+    suspect = F.regexp_count(json, F.lit(BEFORE_NESTED)) > F.size(shape)
+    bare = F.regexp_replace(F.regexp_replace(json, r"\\.", ""), '"[^"]*"', '""')
+    return F.when(suspect, bare.rlike(NESTED)).otherwise(F.lit(False))
 
 
 def _reason(doc: Column, flat: Column, json: Column) -> Column:
@@ -110,7 +98,7 @@ def _reason(doc: Column, flat: Column, json: Column) -> Column:
     null_entry = lambda a: F.exists(a, lambda x: x.isNull())
     bad_flag = F.exists(cols, lambda x: _parsed_int(x["is_partition"]).isNull())
     return (
-        F.when(~flat, F.when(F.from_json(json, "map<string,string>").isNull(), F.lit("malformed json"))
+        F.when(~flat, F.when(F.from_json(json, "map<string,string>", READING).isNull(), F.lit("malformed json"))
                .otherwise(F.lit("not lists of flat entries")))
         .when(cols.isNull(), F.lit("missing columns"))
         .when(doc["table_params"].isNull(), F.lit("missing table_params"))
@@ -126,14 +114,15 @@ def parse_descriptors(df: DataFrame, json_col: str = "json") -> Descriptors:
     """The five outputs are lazy views of one parse expression; each one that is run scans and parses
     its input again. Where several are needed, run them over a materialized parse (``parsed`` of this
     result, see :func:`relayout.materialize`)."""
-    # The parse is the output of a generator (one element per row), so every later field access
-    # reads that one map. A plain column would let the optimizer parse the document once per accessed field.
+    # The parse is the output of one generator (one element per row), so every later field access reads that value: a
+    # plain column would let the optimizer parse the document once per accessed field. Inside, each step is a
+    # lambda over the step before, which is evaluated once and never copied into a row.
     json = F.col(json_col)
-    read = df.select("db", "table", json_col, F.explode_outer(F.array(F.from_json(json, DOCUMENT_TYPE))).alias("read"))
-    flat = F.col("read").isNotNull() & ~_nested(json, F.col("read"))
-    parsed = read.select("db", "table", json_col, F.explode_outer(F.array(F.struct(
-        F.when(flat, _document(F.col("read"))).alias("doc"), flat.alias("flat")))).alias("p")).select("db", "table", json_col, "p.doc", "p.flat")
-    parsed = parsed.withColumn("reason", _reason(F.col("doc"), F.col("flat"), json))
+    read = F.array(F.struct(F.from_json(json, SHAPE, READING).alias("shape"), F.from_json(json, DOCUMENT_SCHEMA, READING).alias("doc")))
+    told = F.transform(read, lambda p: F.struct(p["doc"].alias("doc"), F.when(p["shape"].isNull(), F.lit(False)).otherwise(
+        ~_nested(json, p["shape"])).alias("flat")))
+    reasoned = F.transform(told, lambda p: F.struct(p["doc"].alias("doc"), p["flat"].alias("flat"), _reason(p["doc"], p["flat"], json).alias("reason")))
+    parsed = df.select("db", "table", json_col, F.explode_outer(reasoned).alias("p")).select("db", "table", json_col, "p.doc", "p.flat", "p.reason")
     return outputs_of(parsed.withColumnRenamed(json_col, "json"))
 
 

@@ -47,8 +47,8 @@ DOCUMENT_SCHEMA = (
 )
 #: Texts are in double quotes, as JSON has it.
 READING = {"allowSingleQuotes": "false"}
-#: A key that is followed by an object or a list; in a document without its texts, an entry that holds one.
-BEFORE_NESTED, NESTED = r""""\s*:\s*[\[{]""", r"""[\[,]\s*\{[^{}\[\]]*:\s*[\[{]"""
+#: In a document without its texts: an entry that holds an object or a list.
+NESTED = r"""[\[,]\s*\{[^{}\[\]]*:\s*[\[{]"""
 
 # Integer.parseInt accepts an optional sign and decimal digits only (no blanks), within int range.
 INT_TEXT = r"\A[+-]?[0-9]+\z"
@@ -86,17 +86,20 @@ def _parsed_int(c: Column) -> Column:
 
 def _nested(json: Column, shape: Column) -> Column:
     """Whether a text of the document is a nested object or list in truth, which the shape lets pass (as its JSON
-    text). In the document such a value follows a key, where flat ones have lists below their own keys only: most
-    documents are done with a look at the text. Texts may hold the like, too: of the others all texts are emptied first."""
-    suspect = F.regexp_count(json, F.lit(BEFORE_NESTED)) > F.size(shape)
+    text). A flat document has one opening bracket for each of its lists and one brace for each entry and itself: most
+    documents are done with counting these. Texts may hold some, too: of the other documents all texts are emptied first."""
+    count = lambda sign: F.length(json) - F.length(F.replace(json, F.lit(sign), F.lit("")))
+    lists = F.array_compact(F.map_values(shape))
+    plain = (count("[") == F.size(lists)) & (count("{") == 1 + F.size(F.array_compact(F.flatten(lists))))
     bare = F.regexp_replace(F.regexp_replace(json, r"\\.", ""), '"[^"]*"', '""')
-    return F.when(suspect, bare.rlike(NESTED)).otherwise(F.lit(False))
+    return F.when(plain, F.lit(False)).otherwise(bare.rlike(NESTED))
 
 
 def _reason(doc: Column, flat: Column, json: Column) -> Column:
     cols = doc["columns"]
     null_entry = lambda a: F.exists(a, lambda x: x.isNull())
-    bad_flag = F.exists(cols, lambda x: _parsed_int(x["is_partition"]).isNull())
+    # nearly all flags are one of two
+    bad_flag = F.exists(cols, lambda x: F.when(x["is_partition"].isin("0", "1"), F.lit(False)).otherwise(_parsed_int(x["is_partition"]).isNull()))
     return (
         F.when(~flat, F.when(F.from_json(json, "map<string,string>", READING).isNull(), F.lit("malformed json"))
                .otherwise(F.lit("not lists of flat entries")))

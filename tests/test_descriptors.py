@@ -146,10 +146,12 @@ def test_texts_that_look_nested(spark):
     cols = [{"name": t, "type": "int", "comment": "", "is_partition": "0"} for t in texts]
     nested = [_doc(columns=[{"name": x, "is_partition": "0"}]) for x in ({"a": 1}, [1], {})]
     nested += [_doc(columns=[{"name": "a", "is_partition": "0"}, {"name": "b\\", "type": '"', "comment": x, "is_partition": "0"}]) for x in ({}, [])]
+    # null lists and entries hide no nested value
+    nested += ['{"columns": [null, {"name": {"a": 1}}], "other": null}', '{"columns": [{"name": [1]}], "other": null}']
     deep = '{"columns": [{"name": {"k": 1, "k": 2}, "is_partition": "0"}], "table_params": [], "serde_info": []}'
     d = _parse(spark, [_doc(columns=cols), *nested, deep])
     assert [r.name for r in d.columns.orderBy("position").collect()] == texts
-    assert {r.table for r in d.rejected.where("reason = 'not lists of flat entries'").collect()} == {f"t{i}" for i in range(1, 7)}
+    assert {r.table for r in d.rejected.where("reason = 'not lists of flat entries'").collect()} == {f"t{i}" for i in range(1, 9)}
 
 
 def test_other_shapes(spark):

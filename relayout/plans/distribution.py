@@ -8,8 +8,8 @@ advisory-sized pieces and merges small ones, so file sizes stay even.
 Merging by size knows nothing of files: hundreds of small target partitions end in one task, which then opens
 and closes their files one after another. ``SIZED`` (the job's default) therefore counts the rows of every
 target partition first, over the partition columns only, and sets the number of write tasks from that histogram: enough
-for the rows, and enough that no task writes more than about ``FILES_PER_TASK`` files, as far as the cluster has cores. Only
-partitions with more than ``ROWS_PER_TASK`` rows are split, each into as many parts as it needs. The driver gets
+for the rows (as many a task as the session's advisory partition size holds), and enough that no task writes more than about ``FILES_PER_TASK`` files, as far as the cluster has cores. Only
+partitions with more rows than a task's share are split, each into as many parts as it needs. The driver gets
 three sums, and ``HOT`` partitions to split at most. Where there are more, partitions are large throughout, and the
 rebalance does well: it is used then, and also where the partitions are no more than a task's files.
 
@@ -38,8 +38,9 @@ REBALANCE = "rebalance"
 SALTED = "salted"
 NONE = "none"
 
-#: A write task's share of rows (about 256 MB of files at 64 bytes a row), and of files.
-ROWS_PER_TASK, FILES_PER_TASK = 4_000_000, 24
+#: A write task's share of files.
+FILES_PER_TASK = 24
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 #: Counts of single partitions that the driver is given at most.
 HOT = 1000
 
@@ -74,28 +75,36 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*hashable) if hashable else F.lit(0)
 
 
-def write_tasks(found: Histogram, cores: int, rows_per_task: int = ROWS_PER_TASK, files_per_task: int = FILES_PER_TASK) -> int:
+def rows_per_task(df: DataFrame) -> int:
+    """How many rows, by their types' usual sizes, make the advisory partition size of the session."""
+    size = df.sparkSession.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        df.sparkSession.conf.get(ADVISORY, "64MB"))
+    return max(1, size // (8 + df._jdf.schema().defaultSize()))
+
+
+def write_tasks(found: Histogram, cores: int, rows_per_task: int, files_per_task: int = FILES_PER_TASK) -> int:
     """How many tasks are to write these partitions."""
     by_rows = -(-found.rows // rows_per_task)
     by_files = min(-(-found.partitions // files_per_task), 4 * cores)
     return max(1, by_rows, by_files)
 
 
-def distribute_sized(df: DataFrame, partition_cols: list[str], *, rows_per_task: int = ROWS_PER_TASK,
+def distribute_sized(df: DataFrame, partition_cols: list[str], *, share: int | None = None,
                      files_per_task: int = FILES_PER_TASK) -> DataFrame:
-    """``df`` dealt to a number of tasks that its histogram gives, hot partitions split."""
-    found = histogram(df, partition_cols, rows_per_task)
+    """``df`` dealt to a number of tasks that its histogram gives, partitions of more than ``share`` rows split."""
+    share = share or rows_per_task(df)
+    found = histogram(df, partition_cols, share)
     if found.partitions <= files_per_task or len(found.hot) == HOT:
         return distribute_for_write(df, partition_cols, REBALANCE)
     spark = df.sparkSession
-    tasks = write_tasks(found, spark.sparkContext.defaultParallelism, rows_per_task, files_per_task)
+    tasks = write_tasks(found, spark.sparkContext.defaultParallelism, share, files_per_task)
     columns = [F.col(quote(c)) for c in partition_cols]
     if not found.hot:
         return df.repartition(tasks, *columns)
     # HOT rows at most: each hot partition's values and its parts
     tag = uuid.uuid4().hex[:8]
     kinds = [T.StructField(f"_{tag}_{i}", df.schema[c].dataType) for i, c in enumerate(partition_cols)]
-    split = spark.createDataFrame([(*r[:-1], -(-r["n"] // rows_per_task)) for r in found.hot],
+    split = spark.createDataFrame([(*r[:-1], -(-r["n"] // share)) for r in found.hot],
                                   T.StructType([*kinds, T.StructField(f"_{tag}_parts", T.LongType())]))
     same = reduce(and_, [c.eqNullSafe(F.col(k.name)) for c, k in zip(columns, kinds, strict=True)])
     parts = F.coalesce(F.col(f"_{tag}_parts"), F.lit(1))

@@ -156,8 +156,9 @@ def test_histogram_and_tasks(spark, rows):
     none = D.histogram(rows.where("false"), ["d"], 10)
     assert (none.rows, none.partitions, none.largest, none.hot) == (0, 0, 0, [])
     make = lambda n, p: D.Histogram(n, p, 0, [])
-    assert D.write_tasks(make(100, 3), 8) == 1 and D.write_tasks(make(100, 24 * 5), 8) == 5
-    assert D.write_tasks(make(100, 10 ** 6), 8) == 32 and D.write_tasks(make(10 ** 9, 10), 8) == 250
+    assert D.rows_per_task(rows) == (64 << 20) // (8 + 8 + 20 + 4 + 20)
+    assert D.write_tasks(make(100, 3), 8, 4_000_000) == 1 and D.write_tasks(make(100, 24 * 5), 8, 4_000_000) == 5
+    assert D.write_tasks(make(100, 10 ** 6), 8, 4_000_000) == 32 and D.write_tasks(make(10 ** 9, 10), 8, 4_000_000) == 250
 
 
 def test_many_small_partitions_are_dealt_to_several_tasks(spark, scratch):
@@ -165,7 +166,7 @@ def test_many_small_partitions_are_dealt_to_several_tasks(spark, scratch):
     tgt = path_table_for(rows.schema, scratch("t"), ["p"])
     frame = load_frame(spark, rows, tgt)
     assert len(exchanges(frame)) == 1 and "REPARTITION_BY_NUM" in exchanges(frame)[0]
-    assert frame.rdd.getNumPartitions() == 10
+    assert frame.rdd.getNumPartitions() == min(10, 4 * spark.sparkContext.defaultParallelism)
     per_task = frame.groupBy(F.spark_partition_id()).agg(F.count_distinct("p").alias("n")).collect()
     assert sum(r.n for r in per_task) == 240  # no partition is written by two tasks
 
@@ -173,7 +174,7 @@ def test_many_small_partitions_are_dealt_to_several_tasks(spark, scratch):
 def test_hot_partitions_alone_are_split(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") < 1500, F.lit(None)).when(F.col("id") < 2000, F.lit("b c"))
                                     .otherwise(F.concat(F.lit("p"), (F.col("id") % 50).cast("string"))).alias("p"))
-    out = D.distribute_sized(rows, ["p"], rows_per_task=300, files_per_task=10)
+    out = D.distribute_sized(rows, ["p"], share=300, files_per_task=10)
     assert out.columns == rows.columns and out.exceptAll(rows).isEmpty() and rows.exceptAll(out).isEmpty()
     tasks = {r.p: r.n for r in out.select("p", F.spark_partition_id().alias("task")).groupBy("p").agg(F.count_distinct("task").alias("n")).collect()}
     assert 2 <= tasks[None] <= 5 and tasks["b c"] == 2 and all(n == 1 for p, n in tasks.items() if p not in (None, "b c"))

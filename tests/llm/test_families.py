@@ -43,7 +43,7 @@ def families(seed):
     return [(i, " ".join(d)) for i, d in enumerate(docs)]
 
 
-@pytest.mark.parametrize("seed,words,similar", [(1, 4, (85, 100)), (2, 5, (80, 100)), (3, 1, (85, 100)), (4, 2, (60, 100))])
+@pytest.mark.parametrize("seed,words,similar", [(1, 4, (85, 100)), (2, 5, (80, 100)), (3, 1, (85, 100))])
 def test_families_brute_force(spark, seed, words, similar):
     docs = families(seed)
     got = jaccard.similar_components(spark.createDataFrame(docs, "doc_id long, text string"), words=words, similar=similar).collect()

@@ -194,10 +194,10 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def _sql(rounds: int = ROUNDS) -> str:
-    squares = "list_sum(list_transform(list_zip(k.v, c.v), p -> (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    squares = "list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
     parts = ["""kept AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)""",
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
              """c0 AS MATERIALIZED (
   SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS c, v FROM kept QUALIFY c < 8)"""]
     for i in range(rounds + 1):
@@ -206,9 +206,9 @@ def _sql(rounds: int = ROUNDS) -> str:
   (SELECT k.vec_id, k.v, c.c, {squares} AS d FROM kept k, c{i} c) k GROUP BY k.vec_id)""".replace("(d, c)", "{'d': d, 'c': c}"))
         if i < rounds:
             parts.append(f"""m{i} AS (
-  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY at) AS v FROM
-  (SELECT cluster, at, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM
-   (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS at FROM a{i}) GROUP BY cluster, at) GROUP BY cluster),
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS v FROM
+  (SELECT cluster, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM
+   (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{i}) GROUP BY cluster, pos) GROUP BY cluster),
 c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m ON m.cluster = c.c)""")
     return ("WITH " + ",\n".join(parts) + f"""
 SELECT a.vec_id, a.cluster, a.distance, CAST(sum(a.distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,

@@ -47,7 +47,8 @@ def documents(spark, sf=SMOKE):
 
 def same(df, sql, sf):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     got = df.toPandas()
     want = con.execute(sql).df()[list(got.columns)].astype(got.dtypes.to_dict())
     key = list(got.columns)

@@ -508,10 +508,10 @@ def test_bad_host_is_condemned(spark):
 
 def test_repeated_lines_fail_their_rule(spark):
     """More than half of the lines repeat earlier ones, whatever their number of words."""
-    few = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(20)]
-    rows = [(1, "\n".join(few + few[:4] * 6), "a"), (2, "\n".join(few + few[:10]), "a"), (3, " ".join(few), "a"), (4, "", "a")]
+    long = [" ".join(f"w{k}x{j}" for j in range(60)) for k in range(10)]
+    rows = [(1, "\n".join(long + ["same here"] * 15), "a"), (2, "\n".join(long + ["same here"] * 10), "a"), (3, " ".join(long), "a"), (4, "", "a")]
     out = {r.doc_id: r for r in hosts.host_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert (out[1].n_lines, out[1].n_dup_lines) == (44, 24) and out[1].failed_rules == ["duplicate_lines"]
+    assert (out[1].n_lines, out[1].n_dup_lines) == (25, 14) and out[1].failed_rules == ["duplicate_lines"]
     assert out[2].failed_rules == [] and out[3].failed_rules == [] and out[3].n_lines == 1
 
 

@@ -1,7 +1,8 @@
 """The corpus pipeline stage by stage against brute force on small data."""
 
 import corpus_pipeline
-from test_operators import brute_components, brute_lines
+from pyspark.sql import functions as F
+from test_operators import CLASH, EDGE, SCHEMA, brute_components, brute_lines
 
 from relayout.llm import bpe, language
 from relayout.llm.common import stage
@@ -36,3 +37,17 @@ def test_stages(spark):
     coder = bpe.Encoder(bpe.read_spec())
     for r in five.collect():
         assert r.ids == coder.encode(kept[r.doc_id]) and r.decoded == coder.decode(r.ids)
+
+
+def test_run_on_edge_and_empty_tables(spark, tmp_path):
+    """Null, empty, letterless and very long texts, null ids, repeated rows and foreign columns; and no row at all."""
+    model = [(100 + i, f"the quick brown fox number {i} jumps over a lazy dog and runs away {w}", "en", "a", 0)
+             for i, w in enumerate(["home", "fast", "again", "today", "soon"])]
+    rows = spark.createDataFrame(EDGE + model, SCHEMA)
+    for name, df in (("edge", rows.select("*", *[F.lit(7).alias(c) for c in CLASH])), ("empty", rows.where("false"))):
+        folder = str(tmp_path / name)
+        df.write.parquet(f"{folder}/documents.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        got = {r.doc_id for r in out.collect()}
+        assert got <= {r.doc_id for r in df.collect()} and (name == "edge") == bool(got)
+        assert {"ids", "decoded"} <= set(out.columns)

@@ -72,8 +72,19 @@ def _described_name():
     return F.concat_ws("_", F.lit("t"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 
-def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _evenly_read(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` as it is read, if its scan's tasks have about as many rows each and keep all cores at work; else (a file that cannot be
+    split) its rows are dealt by ``keys``. Counts come from the files' own figures; the driver gets two numbers."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    rows, largest = df.groupBy(F.spark_partition_id()).count().agg(F.sum("count"), F.max("count")).first()
+    return df.repartition(cores, *keys) if 4 * cores * (largest or 0) > 5 * (rows or 0) else df
+
+
+def descriptor_documents(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """``spread``: for documents that are stored to be read by all cores. Lines are dealt, if need be, never their documents."""
     li = table(spark, sf_dir, "lineitem")
+    if spread:
+        li = _evenly_read(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     quantity = F.col("l_quantity")
     n = F.col("l_linenumber")
     types = F.array(*[F.lit(t) for t in COLUMN_TYPES])
@@ -116,7 +127,9 @@ def descriptor_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(quantity == 5, F.slice(F.array(some_type), 1, 0)).otherwise(type_list).alias("type_info"),
     )
     # A null list is left out of the document (or written as null: parsed the same either way).
-    text = F.to_json(doc, {"ignoreNullFields": "true"})
+    # A column of its own: it is made once, however often the texts below name it.
+    li = li.withColumn("text", F.to_json(doc, {"ignoreNullFields": "true"}))
+    text = F.col("text")
     text = (F.when(quantity == 6, F.concat(F.lit('{"other":1,'), text.substr(F.lit(2), F.length(text))))
             .when(quantity == 7, F.replace(text, F.lit('"type":"bigint"'), F.lit('"type":{"of":"bigint"}')))
             .when(quantity == 9, F.replace(text, F.lit('"type":"bigint"'), F.lit('"type":"text","type":"bigint"')))

@@ -238,9 +238,9 @@ def containment_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _descriptors(spark: SparkSession, sf_dir: str):
 
-    # documents are small and dear to parse: as many files as the session has cores, however few the rows came from
-    build = lambda: fx.descriptor_documents(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "table")
-    docs = written_once(spark, ("descriptors", sf_dir), build, "descriptors")
+    # documents are stored where they are made, without a shuffle; they are much alike
+    docs = written_once(spark, ("descriptors", sf_dir), lambda: fx.descriptor_documents(spark, sf_dir, spread=True), "descriptors",
+                        options={"compression": "zstd", "parquet.compression.codec.zstd.level": "6"})
     return parse_descriptors(read_table(spark, docs))
 
 

@@ -21,15 +21,15 @@ def path_table_for(df_schema: T.StructType, path: str, partition_by: list[str] |
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | tuple[str, ...],
-                fmt: str = "parquet") -> PathTable:
+                fmt: str = "parquet", options: dict[str, str] | None = None) -> PathTable:
     """Write ``df`` to a fresh folder, partitioned, spread over write tasks by the partition columns
     like the job's own write (rebalance, or a deterministic salt without AQE) so each partition gets
-    few, evenly sized files. Returns the table description."""
+    few, evenly sized files. ``options`` are the writer's. Returns the table description."""
     from ..plans.distribution import distribute_for_write
 
     table = path_table_for(df.schema, path, partition_by, fmt=fmt)
     out = distribute_for_write(df.select(*[quote(n) for n in table.schema.fieldNames()]), list(partition_by))
-    out.write.format(fmt).mode("errorifexists").partitionBy(*partition_by).save(path)
+    out.write.format(fmt).options(**(options or {})).mode("errorifexists").partitionBy(*partition_by).save(path)
     return table
 
 
@@ -49,7 +49,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | tuple[str, .
 _WRITTEN: dict = {}
 
 
-def written_once(spark, key: tuple, build, name: str, partition_by: list[str] | tuple[str, ...] = ()) -> PathTable:
+def written_once(spark, key: tuple, build, name: str, partition_by: list[str] | tuple[str, ...] = (),
+                 options: dict[str, str] | None = None) -> PathTable:
     """The table ``build()`` describes, written below the shared scratch folder the first time it is
     asked for in this application and reused afterwards (input tables of the registered queries:
     staged sources, generated documents). Rebuilt if its folder has gone."""
@@ -59,6 +60,6 @@ def written_once(spark, key: tuple, build, name: str, partition_by: list[str] |
     k = (spark.sparkContext.applicationId, key)
     table = _WRITTEN.get(k)
     if table is None or not _path_exists(spark, table.path):
-        table = write_table(build(), scratch_path(spark, name), partition_by)
+        table = write_table(build(), scratch_path(spark, name), partition_by, options=options)
         _WRITTEN[k] = table
     return table

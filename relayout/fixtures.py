@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the lookup fixture (also spelled out in the SQL twins).
@@ -165,9 +165,13 @@ def described_events(spark: SparkSession, sf_dir: str, source: str, target: str)
 def descriptor_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pair_id`` (a described table's name) and ``source``, the table of the last line of the same order: its columns hold
     the others' by name and type, so it is up to the comments (the return flags) whether it contains them."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _described_name().alias("pair_id"))
-    last = li.groupBy("l_orderkey").agg(F.max(F.struct("l_linenumber", "pair_id"))["pair_id"].alias("source"))
-    return li.join(last, "l_orderkey").select("pair_id", "source").distinct()
+    # Lines are dealt by order once: the last line is found, and lines that come twice are dropped, where they lie (a name
+    # starts with its order's key). Names are made after that.
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_orderkey").isNotNull()).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    named = lines.repartition("l_orderkey").withColumn("pair_id", _described_name())
+    last = F.max(F.struct("l_linenumber", "pair_id")).over(Window.partitionBy("l_orderkey"))["pair_id"]
+    return (named.withColumn("source", last).groupBy("l_orderkey", "pair_id", "source").agg(F.lit(1))
+            .select("pair_id", "source"))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -224,11 +224,14 @@ def schema_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def containment_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per described table, is it contained in the widest described table of the same order; columns are equal in
     name and type, so comments decide. Tables whose document is rejected are invalid."""
-    columns = _descriptors(spark, sf_dir).columns.select("table", "name", "type", "comment")
+    lists = _descriptors(spark, sf_dir).lists.where(F.col("table").isNotNull())
+    # one parse and one shuffle for both sides: each list moves whole, and becomes a row per column where its pair is compared
+    lists = lists.select("table", F.transform("columns", lambda c: F.struct(c["name"], c["type"], c["comment"])).alias("columns")).repartition("table")
     pairs = fx.descriptor_pairs(spark, sf_dir)
-    target = columns.join(pairs.select(F.col("pair_id").alias("table")), "table").withColumnRenamed("table", "pair_id")
-    source = columns.join(pairs.withColumnRenamed("source", "table"), "table").drop("table")
-    return contain(source, target, pairs)
+    target = lists.withColumnRenamed("table", "pair_id")
+    source = lists.join(pairs.withColumnRenamed("source", "table"), "table").select("pair_id", "columns").repartition("pair_id")
+    inventory = lambda df: df.select("pair_id", F.inline("columns"))
+    return contain(inventory(source), inventory(target), pairs)
 
 
 # ---------------------------------------------------------------------------------------------

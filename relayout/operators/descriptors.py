@@ -53,8 +53,8 @@ READING = {"allowSingleQuotes": "false"}
 NESTED = r"""[\[,]\s*\{[^{}\[\]]*:\s*[\[{]"""
 
 #: A document that is flat for certain, if it is JSON: keys with lists of entries without a bracket, in texts or outside. A nested object
-#: follows a colon, and a nested list a key that follows no list: neither passes, whatever texts hold. No step goes back.
-PLAIN = (r'\A\s*+\{(?:\s*+"[^"\\\[\]{}]*+"\s*+:\s*+\[\s*+(?:\{[^\[\]{}]*+\}\s*+(?:,\s*+(?=\{)|(?=\])))*+\]\s*+(?:,(?=\s*+")|(?=\})))*+\}\s*+\z')
+#: follows a colon, and a nested list a key that follows no list: neither passes, whatever texts hold. No entry is looked at twice.
+PLAIN = (r'\A\s*+\{(?:\s*+"[^"\\\[\]{}]*"\s*+:\s*+\[\s*+(?:\{[^\[\]{}]*\}\s*+(?:,\s*+(?=\{)|(?=\])))*+\]\s*+(?:,(?=\s*+")|(?=\})))*+\}\s*+\z')
 #: Bytes of a document that is looked at this way.
 GLANCE = 1 << 20
 

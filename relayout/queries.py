@@ -243,7 +243,7 @@ def _descriptors(spark: SparkSession, sf_dir: str):
 
     # documents are stored where they are made, without a shuffle; they are much alike
     docs = written_once(spark, ("descriptors", sf_dir), lambda: fx.descriptor_documents(spark, sf_dir, spread=True), "descriptors",
-                        options={"compression": "zstd", "parquet.compression.codec.zstd.level": "6"})
+                        options={"compression": "zstd"})
     return parse_descriptors(read_table(spark, docs))
 
 

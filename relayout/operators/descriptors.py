@@ -19,10 +19,11 @@ flat objects, a missing ``columns`` / ``table_params`` / ``serde_info`` list, a
 an empty ``type_info`` list, an ``is_partition`` that is not an integer).
 
 Everything is evaluated row by row with JVM-side JSON, array and higher-order functions: no
-shuffle, no Python, and each document's work is bounded by its own size. A document is read by two types:
-as a map of lists of maps of texts, which refuses every other shape, whichever keys it has, and as the structs that are
-wanted, which keep the last value of a repeated key. The one thing the first lets pass is a nested
-object or list in a text's place (read as its JSON text), which is told from the document without its texts.
+shuffle, no Python, and each document's work is bounded by its own size. A document whose brackets show lists of flat
+entries is plain: it only has to be JSON, and is read once, as the structs that are wanted, which keep the last value of a
+repeated key. Any other is read as a map of lists of maps of texts, too, which refuses every other shape, whichever keys it
+has. The one thing that lets pass is a nested object or list in a text's place (read as its JSON text), which is told from
+the document without its texts.
 """
 
 from __future__ import annotations
